@@ -65,11 +65,14 @@ def find_cuts(
     order: Sequence[str],
     max_rows: int | None = None,
     cut_on: Sequence[str] | None = None,
+    rows: int | None = None,
 ) -> Cuts:
     """Choose cut points for keys with more than ``max_rows`` rows.
 
     ``cut_on`` are the leading order columns to cut on, by default all of
     them; leaving out a computed tie-breaker keeps its inputs out of this scan.
+    ``rows`` is the number of rows of ``df`` or an upper bound on it; left out,
+    the rows are counted, which is quick for a stored table.
     ``copies`` tells that so many rows share one position that cutting cannot
     part them.
 
@@ -81,7 +84,7 @@ def find_cuts(
     both passes over the data must see the same ones.
     """
     max_rows = max_rows or MAX_ROWS_PER_TASK
-    rows = df.count()
+    rows = df.count() if rows is None else rows
     plain = Cuts(tuple(keys), tuple(order), tuple(cut_on or order), rows)
     if rows <= max_rows:
         return plain

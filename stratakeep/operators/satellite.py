@@ -88,18 +88,20 @@ def sequenced_delta(
     sequence: str | None = None,
     stored: DataFrame | None = None,
     max_rows: int | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Rows whose digest differs from the row before, stored history first.
 
     Rows of a batch are ordered by load time, ``sequence`` and digest. One
     shuffle serves batch and stored rows; an oversized key is cut (see
     ``ordered``). A batch that repeats rows in bulk is collapsed on the map
-    side first: equal neighbours never survive.
+    side first: equal neighbours never survive. ``rows`` is an upper bound on
+    the rows of ``new`` if known (see ``find_cuts``).
     """
     order = _order(sequence)
     tagged = new.withColumn("_new", F.lit(True))
     position = ["_new", *order]
-    cuts = find_cuts(tagged, [hash_key], position, max_rows, cut_on=position[:-1] if sequence else position)
+    cuts = find_cuts(tagged, [hash_key], position, max_rows, position[:-1] if sequence else position, rows)
     if cuts.copies:
         tagged = tagged.dropDuplicates([hash_key, *order])
     if stored is not None:
@@ -112,7 +114,11 @@ def sequenced_delta(
 
 
 def batch_delta(
-    new: DataFrame, hash_key: str, sequence: str | None = None, stored: DataFrame | None = None
+    new: DataFrame,
+    hash_key: str,
+    sequence: str | None = None,
+    stored: DataFrame | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Distinct rows whose digest differs from the latest stored row of the key.
 
@@ -120,23 +126,32 @@ def batch_delta(
     before the shuffle; the join is on unique stored keys, so an oversized key
     of the batch can be split by adaptive execution.
     """
-    rows = new.distinct()
+    distinct = new.distinct()
     if stored is None:
-        return rows
-    known = rows_of_batch_keys(stored, new, [hash_key], new.count())
+        return distinct
+    known = rows_of_batch_keys(stored, new, [hash_key], new.count() if rows is None else rows)
     latest = latest_per_key(known, [hash_key], _order(sequence)).select(hash_key, F.col(HASH_DIFF).alias("_known"))
-    joined = rows.join(latest, hash_key, "left")
+    joined = distinct.join(latest, hash_key, "left")
     return joined.where(~F.col(HASH_DIFF).eqNullSafe(F.col("_known"))).select(*new.columns)
 
 
-def event_delta(new: DataFrame, hash_key: str, stored: DataFrame | None = None) -> DataFrame:
+def event_delta(
+    new: DataFrame,
+    hash_key: str,
+    stored: DataFrame | None = None,
+    carried: Sequence[str] = (),
+    rows: int | None = None,
+) -> DataFrame:
     """Rows whose key and digest are not stored yet, each once.
 
-    De-duplication and anti join share one shuffle on (key, digest), which
-    spreads an oversized key over all tasks.
+    Copies are combined on the map side; the shuffles on whole rows and on
+    (key, digest) spread an oversized key over all tasks. ``carried`` columns
+    may differ between copies of an event.
     """
-    rows = new.dropDuplicates([hash_key, HASH_DIFF])
+    distinct = new.dropDuplicates([hash_key, HASH_DIFF]) if carried else new.distinct()
     if stored is None:
-        return rows
-    known = rows_of_batch_keys(stored.select(hash_key, HASH_DIFF), new, [hash_key], new.count())
-    return rows.join(known, [hash_key, HASH_DIFF], "left_anti").select(*new.columns)
+        return distinct
+    known = rows_of_batch_keys(
+        stored.select(hash_key, HASH_DIFF), new, [hash_key], new.count() if rows is None else rows
+    )
+    return distinct.join(known, [hash_key, HASH_DIFF], "left_anti").select(*new.columns)

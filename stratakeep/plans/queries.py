@@ -53,6 +53,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def size(spark: SparkSession, sf_dir: str, name: str = "events") -> int:
+    """Rows of a table, from file metadata."""
+    return table(spark, sf_dir, name).count()
+
+
 def money(name: str) -> Column:
     return F.col(name).cast("decimal(18,2)")
 
@@ -224,29 +229,30 @@ def sat_batch_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = activity_satellite(activity(spark, sf_dir))
     early = F.col("loaded_at") < ntz(EVENT_SPLIT)
     new = latest_per_key(rows.where(~early), ["user_hash_key"], ["loaded_at"])
-    return batch_delta(new, "user_hash_key", stored=rows.where(early))
+    return batch_delta(new, "user_hash_key", stored=rows.where(early), rows=size(spark, sf_dir))
 
 
 def sat_sequenced(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = activity_satellite(activity(spark, sf_dir))
     early = F.col("loaded_at") < ntz(EVENT_SPLIT)
-    stored = sequenced_delta(rows.where(early), "user_hash_key")
-    return stored.unionByName(sequenced_delta(rows.where(~early), "user_hash_key", stored=stored))
+    n = size(spark, sf_dir)
+    stored = sequenced_delta(rows.where(early), "user_hash_key", rows=n)
+    return stored.unionByName(sequenced_delta(rows.where(~early), "user_hash_key", stored=stored, rows=n))
 
 
-def _adds_and_drops_satellite(lines: DataFrame, loaded_at: Column) -> DataFrame:
-    events = cart_adds_and_drops(cart_line_satellite(lines))
+def _adds_and_drops_satellite(lines: DataFrame, loaded_at: Column, rows: int) -> DataFrame:
+    events = cart_adds_and_drops(cart_line_satellite(lines), rows=rows)
     return satellite_rows(
         events, "cart_id_product_id_combined", "cart_product_hash_key", "sat_cart_product", loaded_at
     )
 
 
 def sat_event(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = cart_lines(spark, sf_dir)
-    first = _adds_and_drops_satellite(lines.where(F.col("added_at_ts") < ntz(EVENT_SPLIT)), ntz(FIRST_LOAD))
+    lines, n = cart_lines(spark, sf_dir), size(spark, sf_dir)
+    first = _adds_and_drops_satellite(lines.where(F.col("added_at_ts") < ntz(EVENT_SPLIT)), ntz(FIRST_LOAD), n)
     stored = event_delta(first, "cart_product_hash_key")
-    again = _adds_and_drops_satellite(lines, ntz(SECOND_LOAD))
-    return stored.unionByName(event_delta(again, "cart_product_hash_key", stored))
+    again = _adds_and_drops_satellite(lines, ntz(SECOND_LOAD), n)
+    return stored.unionByName(event_delta(again, "cart_product_hash_key", stored, rows=n))
 
 
 def sat_link(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,7 +266,7 @@ def sat_link(spark: SparkSession, sf_dir: str) -> DataFrame:
         described_by=["cart_id", "product_id", "quantity"],
         carried=["added_at_ts"],
     )
-    return sequenced_delta(rows, "cart_product_hash_key", sequence="added_at_ts")
+    return sequenced_delta(rows, "cart_product_hash_key", sequence="added_at_ts", rows=size(spark, sf_dir))
 
 
 def latest_user_event(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,7 +279,7 @@ def latest_user_event(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pit_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen, bought = point_satellites(spark, sf_dir)
-    return pit_rows({"sat_seen": seen, "sat_bought": bought}, "customer_hash_key")
+    return pit_rows({"sat_seen": seen, "sat_bought": bought}, "customer_hash_key", rows=size(spark, sf_dir))
 
 
 def email_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -314,7 +320,7 @@ def primary_email_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cart_adds_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cart_adds_and_drops(cart_line_satellite(cart_lines(spark, sf_dir)))
+    return cart_adds_and_drops(cart_line_satellite(cart_lines(spark, sf_dir)), rows=size(spark, sf_dir))
 
 
 # --- marts ------------------------------------------------------------------
@@ -347,7 +353,8 @@ def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     sat = satellite_rows(
         rows, "_id", "product_hash_key", PRODUCT_SOURCE, F.col("updated_at_ts"), described, carried
     )
-    return marts.dim_product(hub, sequenced_delta(sat, "product_hash_key"))
+    n = size(spark, sf_dir)
+    return marts.dim_product(hub, sequenced_delta(sat, "product_hash_key", rows=n), rows=n)
 
 
 def dim_customer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -373,8 +380,9 @@ def dim_customer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("updated_at_ts"),
         F.concat(text("user_id"), F.lit("@"), text("event_id")).alias("primary_email"),
     )
+    n = size(spark, sf_dir)
     pit = pit_rows(
-        {"sat_customer_collection": collection, "sat_customer_primary_email": email}, "customer_hash_key"
+        {"sat_customer_collection": collection, "sat_customer_primary_email": email}, "customer_hash_key", rows=n
     )
     hub = hub_rows(
         customers(spark, sf_dir),
@@ -384,7 +392,7 @@ def dim_customer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         CUSTOMER_SOURCE,
         ntz(FIRST_LOAD),
     )
-    return marts.dim_customer_history(pit, hub, email, collection, sequence="updated_at_ts")
+    return marts.dim_customer_history(pit, hub, email, collection, sequence="updated_at_ts", rows=n)
 
 
 def fact_adds_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -406,7 +414,7 @@ def fact_adds_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
         CART_SOURCE,
         ntz(FIRST_LOAD),
     )
-    events = _adds_and_drops_satellite(lines, ntz(FIRST_LOAD))
+    events = _adds_and_drops_satellite(lines, ntz(FIRST_LOAD), size(spark, sf_dir))
     return marts.fact_cart_adds_and_drops(events, link_cart_product, link_customer_cart)
 
 
