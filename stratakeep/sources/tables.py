@@ -11,7 +11,6 @@ import re
 import tempfile
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,14 +19,16 @@ LOAD_ID = "load_id"
 _LOAD_ID_FORM = re.compile(r"[A-Za-z0-9_-]+")
 
 
-def _open(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame | None:
+def _exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether the file system of the pattern holds a match."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
+def _open(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame:
     reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", True)
-    try:
-        return reader.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+    return reader.parquet(path)
 
 
 def read_loads(
@@ -41,9 +42,9 @@ def read_loads(
     """
     if schema is not None:
         schema = T.StructType([*[f for f in schema.fields if f.name != LOAD_ID], T.StructField(LOAD_ID, T.StringType())])
-    table = _open(spark, path, schema)
-    if table is None or LOAD_ID not in table.columns:
+    if not _exists(spark, f"{path}/{LOAD_ID}=*"):
         return None
+    table = _open(spark, path, schema)
     if skip_load is not None:
         table = table.where(F.col(LOAD_ID) != skip_load)
     return table.drop(LOAD_ID)
@@ -69,8 +70,7 @@ def append_load(df: DataFrame, path: str, load_id: str) -> int:
     rows = counted.get["rows"]
     if rows == 0:
         earlier = f"{path}/{LOAD_ID}={load_id}"
-        left = _open(df.sparkSession, earlier, df.schema)
-        if left is not None and not left.isEmpty():
+        if _exists(df.sparkSession, earlier):
             df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(earlier)
     return rows
 
@@ -82,7 +82,7 @@ def replace_table(df: DataFrame, path: str) -> None:
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
     """A truncate-and-load table; None if it was never written."""
-    return _open(spark, path, schema)
+    return _open(spark, path, schema) if _exists(spark, f"{path}/*.parquet") else None
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

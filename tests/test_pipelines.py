@@ -1,0 +1,236 @@
+"""The six jobs end to end over small landed files, in batches and as a stream."""
+
+from __future__ import annotations
+
+import json
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratakeep.functions import key_hash
+from stratakeep.plans import marts, pipelines
+from stratakeep.plans.warehouse import Warehouse
+from stratakeep.sources.landing import read_landing
+from stratakeep.sources.schemas import LANDING_SCHEMAS
+from stratakeep.streaming import stream_landing
+
+MS = 1_562_173_938_000
+
+
+def ts(minute):
+    return {"$date": MS + minute * 60_000}
+
+
+def email(name, primary, minute=0):
+    return {"_id": name, "email": f"{name}@x", "is_primary": primary, "created_at": ts(minute)}
+
+
+def customer(key, minute, name, emails=None, **more):
+    doc = {"_id": key, "first_name": name, "created_at": ts(0), "updated_at": ts(minute), "password_hash": f"p{minute}",
+           "total_spent": 1.5, **more}
+    return {**doc, "emails": emails} if emails is not None else doc
+
+
+JULY = [
+    customer("1", 1, "Ann", [email("e1", True)]),
+    customer("1", 3, "Anna", [email("e1", True), email("e2", False)]),
+    customer("1", 2, "Ann", [email("e1", True)]),
+    customer("2", 1, "Bob", []),
+    customer("3", 1, "Cy"),
+    customer(None, 1, "nobody"),
+]
+AUGUST = [
+    customer("1", 10, "Anna", [email("e1", False), email("e2", True)]),
+    customer("2", 11, "Rob", [email("e3", True)]),
+    customer("2", 1, "Bob", []),
+    customer("4", 12, "Di"),
+]
+
+
+def land(tmp_path, source, name, docs, *raw):
+    folder = tmp_path / "landing" / source
+    folder.mkdir(parents=True, exist_ok=True)
+    lines = [json.dumps(doc) for doc in docs] + list(raw)
+    (folder / name).write_text("\n".join(lines) + "\n", encoding="utf-8")
+    return str(folder / name)
+
+
+def read(spark, source, path):
+    return read_landing(spark, path, LANDING_SCHEMAS[source])
+
+
+def counts(warehouse, *tables):
+    return {name: warehouse.read(name).count() for name in tables}
+
+
+CUSTOMER_TABLES = ("hub_customer", "sat_customer_collection", "hub_email", "sat_email", "link_customer_email")
+
+
+@pytest.fixture(scope="module")
+def customers(spark, tmp_path_factory):
+    tmp_path = tmp_path_factory.mktemp("customers")
+    root = str(tmp_path / "vault")
+    one = Warehouse(spark, root, "july", datetime(2019, 8, 1, tzinfo=timezone.utc))
+    first = pipelines.load_customers(one, read(spark, "customer", land(tmp_path, "customer", "july", JULY, '{"_id": "7", ')))
+    pipelines.derive_customers(one)
+    july_primary = one.read("sat_customer_primary_email").collect()
+    two = Warehouse(spark, root, "august", datetime(2019, 9, 1, tzinfo=timezone.utc))
+    august = land(tmp_path, "customer", "august", AUGUST)
+    second = pipelines.load_customers(two, read(spark, "customer", august))
+    pipelines.derive_customers(two)
+    return tmp_path, root, first, second, july_primary, august
+
+
+def test_customer_loads(spark, customers):
+    _, root, first, second, _, _ = customers
+    assert first.rows == {
+        "hub_customer": 3, "sat_customer_collection": 5, "hub_email": 2, "sat_email": 2, "link_customer_email": 2
+    }
+    assert second.rows == {
+        "hub_customer": 1, "sat_customer_collection": 3, "hub_email": 1, "sat_email": 3, "link_customer_email": 1
+    }
+    assert sorted(r.reject_reason for r in first.rejects.collect()) == ["not parsed", "null _id"]
+    assert second.rejects.count() == 0
+
+
+def test_customer_satellite_columns(spark, customers):
+    sat = Warehouse(spark, customers[1]).read("sat_customer_collection")
+    assert {"hash_diff", "customer_hash_key", "loaded_at", "record_source", "s3_location"} <= set(sat.columns)
+    assert {"confirmation_token_expires_at_ts", "created_at_ts"} <= set(sat.columns)
+    assert not {"emails", "password_hash", "confirmation_token", "_corrupt_record", "created_at"} & set(sat.columns)
+
+
+def test_every_link_member_is_in_its_hub(spark, customers):
+    vault = Warehouse(spark, customers[1])
+    link = vault.read("link_customer_email")
+    for hub, key in (("hub_customer", "customer_hash_key"), ("hub_email", "email_hash_key")):
+        assert link.join(vault.read(hub), key, "left_anti").count() == 0
+
+
+def test_primary_email_follows_the_rule(spark, customers):
+    _, root, _, _, july, _ = customers
+    assert [(r.customer_internal_application_id, r.primary_email) for r in july] == [("1", "e1@x")]
+    now = Warehouse(spark, root).read("sat_customer_primary_email").orderBy("loaded_at").collect()
+    assert sorted((r.customer_internal_application_id, r.primary_email) for r in now) == [
+        ("1", "e1@x"), ("1", "e2@x"), ("2", "e3@x")
+    ]
+
+
+def test_customer_dimension(spark, customers):
+    vault = Warehouse(spark, customers[1])
+    pit = vault.read_replaced("pit_customer")
+    assert pit.count() == pit.select("customer_hash_key", "loaded_at").distinct().count() == 6
+    dim = marts.dim_customer_history(
+        pit,
+        vault.read("hub_customer"),
+        vault.read("sat_customer_primary_email"),
+        vault.read("sat_customer_collection"),
+        sequence=pipelines.EVENT_AT,
+    )
+    names = spark.createDataFrame([(k,) for k in "1234"], "id string").select("id", key_hash("id").alias("customer_hash_key"))
+    rows = dim.join(names, "customer_hash_key").orderBy("id", "valid_from").collect()
+    assert [(r.id, r.first_name, r.primary_email, r.valid_to is None) for r in rows] == [
+        ("1", "Anna", "e1@x", False),
+        ("1", "Anna", "e2@x", True),
+        ("2", "Bob", None, False),
+        ("2", "Rob", "e3@x", True),
+        ("3", "Cy", None, True),
+        ("4", "Di", None, True),
+    ]
+
+
+def test_rerun_of_a_load_changes_nothing(spark, customers):
+    _, root, _, second, _, august = customers
+    vault = Warehouse(spark, root)
+    before = counts(vault, *CUSTOMER_TABLES, "sat_customer_primary_email")
+    again = Warehouse(spark, root, "august", datetime(2019, 9, 2, tzinfo=timezone.utc))
+    assert pipelines.load_customers(again, read(spark, "customer", august)).rows == second.rows
+    pipelines.derive_customers(again)
+    assert counts(vault, *CUSTOMER_TABLES, "sat_customer_primary_email") == before
+
+
+def test_same_documents_in_another_load_add_nothing_new(spark, customers, tmp_path):
+    _, root, _, _, _, _ = customers
+    later = Warehouse(spark, root, "later")
+    path = land(tmp_path, "customer", "again", [AUGUST[0], AUGUST[3]])
+    assert set(pipelines.load_customers(later, read(spark, "customer", path)).rows.values()) == {0}
+
+
+def test_legacy_email_rule_keeps_demoted_emails(spark, customers):
+    _, root, _, _, _, _ = customers
+    rule = pipelines.primary_email_legacy(
+        *[Warehouse(spark, root).read(name) for name in ("sat_email", "link_customer_email", "hub_customer")],
+        sequence=pipelines.EVENT_AT,
+    )
+    assert sorted(tuple(r) for r in rule.collect()) == [("1", "e1@x"), ("1", "e2@x"), ("2", "e3@x")]
+
+
+def item(cart, product, quantity, minute, removed=None):
+    doc = {"_id": f"i{minute}", "cart_id": cart, "product_id": product, "quantity": quantity, "added_at": ts(minute)}
+    return {**doc, "removed_at": ts(removed)} if removed is not None else doc
+
+
+CARTS = [
+    {"_id": "c1", "customer_id": "1", "state": "open", "created_at": ts(0)},
+    {"_id": "c1", "customer_id": "1", "state": "closed", "created_at": ts(0), "invoice_created_at": ts(9)},
+    {"_id": "c2", "customer_id": None, "state": "open", "created_at": ts(1)},
+]
+ITEMS = [item("c1", "p1", 2, 1), item("c1", "p1", 5, 2), item("c1", "p1", 4, 3), item("c1", "p2", 1, 4), item(None, "p1", 1, 5)]
+MORE_ITEMS = [item("c1", "p1", 4, 3, removed=6), item("c1", "p2", 3, 7)]
+PRODUCTS = [
+    {"_id": "p1", "title": "Pen", "store_id": "s", "inventory": 4, "created_at": ts(0), "updated_at": ts(1), "tags": ["a"]},
+    {"_id": "p1", "title": "Pen", "store_id": "s", "inventory": 4, "created_at": ts(0), "updated_at": ts(1), "tags": ["b"]},
+    {"_id": "p2", "title": "Ink", "created_at": ts(0)},
+]
+
+
+def test_cart_jobs_to_the_fact(spark, tmp_path):
+    root = str(tmp_path / "vault")
+    one = Warehouse(spark, root, "one", datetime(2019, 8, 1, tzinfo=timezone.utc))
+    carts = pipelines.load_carts(one, read(spark, "cart", land(tmp_path, "cart", "a", CARTS)))
+    assert carts.rows == {"hub_cart": 2, "sat_cart_collection": 3, "link_customer_cart": 1}
+    assert [r.reject_reason for r in carts.rejects.collect()] == ["null customer_id"]
+    items = pipelines.load_cart_items(one, read(spark, "cart_item", land(tmp_path, "cart_item", "a", ITEMS)))
+    assert items.rows == {"link_cart_product": 2, "sat_cart_product": 4}
+    assert [r.reject_reason for r in items.rejects.collect()] == ["null cart_id"]
+    assert pipelines.derive_carts(one).rows == {"sat_cart_adds_and_drops": 4}
+    two = Warehouse(spark, root, "two", datetime(2019, 8, 2, tzinfo=timezone.utc))
+    more = pipelines.load_cart_items(two, read(spark, "cart_item", land(tmp_path, "cart_item", "b", MORE_ITEMS)))
+    assert more.rows == {"link_cart_product": 0, "sat_cart_product": 2}
+    assert pipelines.derive_carts(two).rows == {"sat_cart_adds_and_drops": 2}
+    assert pipelines.derive_carts(Warehouse(spark, root, "three")).rows == {"sat_cart_adds_and_drops": 0}
+    fact = marts.fact_cart_adds_and_drops(
+        two.read("sat_cart_adds_and_drops"), two.read("link_cart_product"), two.read("link_customer_cart")
+    )
+    rows = fact.orderBy("event_time").select("quantity_added", "quantity_dropped").collect()
+    assert [tuple(r) for r in rows] == [(2, 0), (3, 0), (0, 1), (1, 0), (0, 4), (2, 0)]
+    hashes = spark.range(1).select(key_hash(F.lit("1")).alias("u"), key_hash(F.lit("p1")).alias("p")).first()
+    assert {r.customer_hash_key for r in fact.collect()} == {hashes.u}
+    assert fact.where(F.col("product_hash_key") == hashes.p).count() == 4
+
+
+def test_product_job_to_the_dimension(spark, tmp_path):
+    vault = Warehouse(spark, str(tmp_path / "vault"), "one")
+    loaded = pipelines.load_products(vault, read(spark, "product", land(tmp_path, "product", "a", PRODUCTS)))
+    assert loaded.rows == {"hub_product": 2, "sat_product_collection": 2}
+    dim = marts.dim_product(vault.read("hub_product"), vault.read("sat_product_collection"), pipelines.EVENT_AT)
+    assert sorted((r.title, r.inventory, r.valid_to) for r in dim.collect()) == [("Ink", None, None), ("Pen", 4, None)]
+
+
+def test_stream_loads_the_same_tables_file_by_file(spark, tmp_path):
+    land(tmp_path, "customer", "a", JULY)
+    root, checkpoint = str(tmp_path / "vault"), str(tmp_path / "progress")
+    folder = str(tmp_path / "landing" / "customer")
+
+    def run():
+        query = stream_landing(spark, "customer", folder, root, checkpoint, max_files=1)
+        assert query.awaitTermination(120)
+        assert query.exception() is None
+
+    run()
+    vault = Warehouse(spark, root)
+    assert counts(vault, *CUSTOMER_TABLES) == dict(zip(CUSTOMER_TABLES, (3, 5, 2, 2, 2)))
+    land(tmp_path, "customer", "b", AUGUST)
+    run()
+    assert counts(vault, *CUSTOMER_TABLES) == dict(zip(CUSTOMER_TABLES, (4, 8, 3, 5, 3)))
