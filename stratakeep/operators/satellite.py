@@ -89,26 +89,41 @@ def sequenced_delta(
     stored: DataFrame | None = None,
     max_rows: int | None = None,
     rows: int | None = None,
+    late: bool = False,
 ) -> DataFrame:
     """Rows whose digest differs from the row before, stored history first.
 
-    Rows of a batch are ordered by load time, ``sequence`` and digest. One
-    shuffle serves batch and stored rows; an oversized key is cut (see
-    ``ordered``). A batch that repeats rows in bulk is collapsed on the map
-    side first: equal neighbours never survive. ``rows`` is an upper bound on
-    the rows of ``new`` if known (see ``find_cuts``).
+    Rows of a batch are ordered by load time, ``sequence`` and digest, after
+    the latest stored row of their key. One shuffle serves batch and stored
+    rows; an oversized key is cut (see ``ordered``). A batch that repeats rows
+    in bulk is collapsed on the map side first: equal neighbours never
+    survive. ``rows`` is an upper bound on the rows of ``new`` if known.
+
+    With ``late`` the batch may hold events older than stored ones, or stored
+    ones again: rows are placed among the whole stored history of their key by
+    ``sequence``. Stored rows are never changed, so a stored row may repeat a
+    late one that now precedes it.
     """
+    if late and not sequence:
+        raise ValueError("late events need a sequence column")
     order = _order(sequence)
-    tagged = new.withColumn("_new", F.lit(True))
-    position = ["_new", *order]
-    cuts = find_cuts(tagged, [hash_key], position, max_rows, position[:-1] if sequence else position, rows)
-    if cuts.copies:
-        tagged = tagged.dropDuplicates([hash_key, *order])
+    fresh = new.withColumn("_new", F.lit(True))
+    position = [sequence, "_new", LOADED_AT, HASH_DIFF] if late else ["_new", *order]
+    position = list(dict.fromkeys(position))
+    cut_on = position[:-1] if sequence else position
     if stored is not None:
-        before = latest_per_key(rows_of_batch_keys(stored, new, [hash_key], cuts.rows), [hash_key], order)
+        rows = new.count() if rows is None else rows
+        known = rows_of_batch_keys(stored, new, [hash_key], rows)
+        before = known if late else latest_per_key(known, [hash_key], order)
         before = before.select(hash_key, *order).withColumn("_new", F.lit(False))
-        tagged = tagged.unionByName(before, allowMissingColumns=True)
-    compared = previous_values(tagged, cuts, {"_before": HASH_DIFF})
+    if stored is not None and late:
+        cuts = find_cuts(fresh.unionByName(before, allowMissingColumns=True), [hash_key], position, max_rows, cut_on)
+    else:
+        cuts = find_cuts(fresh, [hash_key], position, max_rows, cut_on, rows)
+    if cuts.copies:
+        fresh = fresh.dropDuplicates([hash_key, *order])
+    placed = fresh if stored is None else fresh.unionByName(before, allowMissingColumns=True)
+    compared = previous_values(placed, cuts, {"_before": HASH_DIFF})
     changed = ~F.col(HASH_DIFF).eqNullSafe(F.col("_before"))
     return compared.where(F.col("_new") & changed).select(*new.columns)
 

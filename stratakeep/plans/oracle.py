@@ -218,4 +218,46 @@ ORACLE: dict[str, str] = {
         SELECT md5(product_id) AS product_hash_key, md5('owner ' || left(cart_id, 1)) AS customer_hash_key,
                quantity_added, quantity_dropped, event_time
         FROM ({_ADDS_AND_DROPS})""",
+    "job_products": """
+        WITH base AS (
+            SELECT md5(cast(p_partkey AS varchar)) AS product_hash_key, *,
+                   cast(cast(p_retailprice AS decimal(18, 2)) * 100 AS bigint) AS cents FROM part),
+        versions AS (
+            SELECT *, TIMESTAMP '2024-02-01 00:00:00' AS valid_from,
+                   CASE WHEN p_size > 25 THEN TIMESTAMP '2024-02-02 00:00:00' END AS valid_to FROM base
+            UNION ALL
+            SELECT * REPLACE (cents + 100 AS cents), TIMESTAMP '2024-02-02 00:00:00', NULL FROM base WHERE p_size > 25)
+        SELECT product_hash_key, valid_from, valid_to, p_name AS title, p_type AS product_type,
+               cast(NULL AS varchar) AS description, p_brand AS vendor, cast(NULL AS varchar) AS store_id,
+               cast(p_size AS bigint) AS inventory, cents AS sale_price_in_cents,
+               TIMESTAMP '2024-01-01 00:00:00' AS created_at_ts, cast(NULL AS timestamp) AS updated_at_ts
+        FROM versions""",
+    "job_customers": """
+        WITH spans AS (
+            SELECT *, TIMESTAMP '2024-02-01 00:00:00' AS valid_from, '-1@example' AS mail,
+                   CASE WHEN c_acctbal > 0 THEN TIMESTAMP '2024-02-02 00:00:00' END AS valid_to FROM customer
+            UNION ALL
+            SELECT *, TIMESTAMP '2024-02-02 00:00:00', '-2@example', NULL FROM customer WHERE c_acctbal > 0)
+        SELECT md5(cast(c_custkey AS varchar)) AS customer_hash_key, valid_from, valid_to,
+               cast(c_custkey AS varchar) || mail AS primary_email, c_mktsegment AS currency, c_name AS first_name,
+               cast(NULL AS varchar) AS last_name, cast(c_acctbal AS decimal(18, 2)) AS total_spent,
+               cast(NULL AS timestamp) AS last_cart_activity_at_ts, cast(NULL AS timestamp) AS last_cart_created_at_ts,
+               cast(NULL AS timestamp) AS log_out_expires_at_ts, cast(NULL AS timestamp) AS confirmed_on_ts,
+               cast(NULL AS timestamp) AS confirmation_token_expires_at_ts,
+               TIMESTAMP '2024-01-01 00:00:00' AS created_at_ts, cast(NULL AS timestamp) AS updated_at_ts
+        FROM spans""",
+    "job_carts": """
+        WITH lines AS (
+            SELECT DISTINCT l_orderkey, l_partkey, cast(l_quantity AS bigint) AS quantity, l_shipdate,
+                   l_returnflag = 'R' AS removed FROM lineitem),
+        deltas AS (
+            SELECT *, coalesce(lag(quantity) OVER (PARTITION BY l_orderkey, l_partkey ORDER BY l_shipdate), 0) AS before
+            FROM lines)
+        SELECT md5(cast(l_partkey AS varchar)) AS product_hash_key, md5(cast(o_custkey AS varchar)) AS customer_hash_key,
+               CASE WHEN NOT removed AND quantity > before THEN quantity - before ELSE 0 END AS quantity_added,
+               CASE WHEN removed THEN quantity WHEN quantity < before THEN before - quantity ELSE 0 END
+                   AS quantity_dropped,
+               l_shipdate AS event_time
+        FROM deltas JOIN orders ON l_orderkey = o_orderkey
+        WHERE quantity <> before OR removed""",
 }

@@ -30,6 +30,7 @@ from stratakeep.operators.satellite import (
     sequenced_delta,
 )
 from stratakeep.plans import marts
+from stratakeep.plans.job_queries import JOB_QUERIES
 from stratakeep.sources.landing import CORRUPT, REASON, read_landing, split_landing
 from stratakeep.sources.schemas import DATE
 from stratakeep.sources.tables import scratch_path, stage
@@ -506,4 +507,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_product": dim_product,
     "dim_customer_history": dim_customer_history,
     "fact_adds_drops": fact_adds_drops,
+    **JOB_QUERIES,
 }
