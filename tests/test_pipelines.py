@@ -8,8 +8,10 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from stratakeep.__main__ import run_job
 from stratakeep.functions import key_hash
 from stratakeep.plans import marts, pipelines
+from stratakeep.plans.views import register_views
 from stratakeep.plans.warehouse import Warehouse
 from stratakeep.sources.landing import read_landing
 from stratakeep.sources.schemas import LANDING_SCHEMAS
@@ -218,6 +220,24 @@ def test_product_job_to_the_dimension(spark, tmp_path):
     assert sorted((r.title, r.inventory, r.valid_to) for r in dim.collect()) == [("Ink", None, None), ("Pen", 4, None)]
 
 
+def test_views_serve_the_tables_and_mart_in_sql(spark, customers):
+    names = register_views(Warehouse(spark, customers[1]))
+    assert {"hub_customer", "pit_customer", "dim_customer_history"} <= set(names)
+    assert "dim_product" not in names
+    row = spark.sql(
+        "select count(*) as n, count(valid_to) as closed, count(primary_email) as mails from dim_customer_history"
+    ).first()
+    assert (row.n, row.closed, row.mails) == (6, 2, 3)
+
+
+def test_jobs_run_by_name(spark, tmp_path):
+    path, root = land(tmp_path, "customer", "a", JULY), str(tmp_path / "vault")
+    assert run_job(spark, "customer", root, path, "one").rows["hub_customer"] == 3
+    assert run_job(spark, "derive_customers", root, load_id="two").rows == {"sat_customer_primary_email": 1}
+    with pytest.raises(ValueError, match="landing"):
+        run_job(spark, "product", root)
+
+
 def test_stream_loads_the_same_tables_file_by_file(spark, tmp_path):
     land(tmp_path, "customer", "a", JULY)
     root, checkpoint = str(tmp_path / "vault"), str(tmp_path / "progress")
