@@ -32,13 +32,17 @@ def _open(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFr
 
 
 def read_loads(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, skip_load: str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    skip_load: str | None = None,
+    only_load: str | None = None,
 ) -> DataFrame | None:
     """All loads of a table without the ``load_id`` column; None if it has none.
 
     With ``schema`` no file footer is read up front and columns a load lacks
     are null; without it the schemas of all loads are merged. ``skip_load``
-    leaves out one load by partition pruning.
+    leaves out one load and ``only_load`` all others, by partition pruning.
     """
     if schema is not None:
         schema = T.StructType([*[f for f in schema.fields if f.name != LOAD_ID], T.StructField(LOAD_ID, T.StringType())])
@@ -47,6 +51,8 @@ def read_loads(
     table = _open(spark, path, schema)
     if skip_load is not None:
         table = table.where(F.col(LOAD_ID) != skip_load)
+    if only_load is not None:
+        table = table.where(F.col(LOAD_ID) == only_load)
     return table.drop(LOAD_ID)
 
 

@@ -212,6 +212,20 @@ def test_cart_jobs_to_the_fact(spark, tmp_path):
     assert fact.where(F.col("product_hash_key") == hashes.p).count() == 4
 
 
+def test_changed_carts_alone_give_the_same_events(spark, tmp_path):
+    first, second = land(tmp_path, "cart_item", "a", ITEMS), land(tmp_path, "cart_item", "b", MORE_ITEMS[:1])
+    results = []
+    for name, changed_only in (("all", False), ("changed", True)):
+        root = str(tmp_path / name)
+        for load, path in (("one", first), ("two", second)):
+            vault = Warehouse(spark, root, load)
+            pipelines.load_cart_items(vault, read(spark, "cart_item", path))
+            pipelines.derive_carts(vault, changed_only=changed_only)
+        events = vault.read("sat_cart_adds_and_drops").drop("loaded_at")
+        results.append(sorted(map(tuple, events.collect()), key=repr))
+    assert results[0] == results[1] and len(results[0]) == 5
+
+
 def test_product_job_to_the_dimension(spark, tmp_path):
     vault = Warehouse(spark, str(tmp_path / "vault"), "one")
     loaded = pipelines.load_products(vault, read(spark, "product", land(tmp_path, "product", "a", PRODUCTS)))
