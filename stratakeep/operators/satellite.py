@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratakeep.functions.hashing import joined_key, key_hash, row_hash
-from stratakeep.operators.matching import rows_of_batch_keys
 from stratakeep.operators.ordered import find_cuts, latest_per_key, previous_values
 
 HASH_DIFF = "hash_diff"
@@ -112,9 +111,7 @@ def sequenced_delta(
     position = list(dict.fromkeys(position))
     cut_on = position[:-1] if sequence else position
     if stored is not None:
-        rows = new.count() if rows is None else rows
-        known = rows_of_batch_keys(stored, new, [hash_key], rows)
-        before = known if late else latest_per_key(known, [hash_key], order)
+        before = stored if late else latest_per_key(stored, [hash_key], order)
         before = before.select(hash_key, *order).withColumn("_new", F.lit(False))
     if stored is not None and late:
         cuts = find_cuts(fresh.unionByName(before, allowMissingColumns=True), [hash_key], position, max_rows, cut_on)
@@ -129,11 +126,7 @@ def sequenced_delta(
 
 
 def batch_delta(
-    new: DataFrame,
-    hash_key: str,
-    sequence: str | None = None,
-    stored: DataFrame | None = None,
-    rows: int | None = None,
+    new: DataFrame, hash_key: str, sequence: str | None = None, stored: DataFrame | None = None
 ) -> DataFrame:
     """Distinct rows whose digest differs from the latest stored row of the key.
 
@@ -144,18 +137,13 @@ def batch_delta(
     distinct = new.distinct()
     if stored is None:
         return distinct
-    known = rows_of_batch_keys(stored, new, [hash_key], new.count() if rows is None else rows)
-    latest = latest_per_key(known, [hash_key], _order(sequence)).select(hash_key, F.col(HASH_DIFF).alias("_known"))
+    latest = latest_per_key(stored, [hash_key], _order(sequence)).select(hash_key, F.col(HASH_DIFF).alias("_known"))
     joined = distinct.join(latest, hash_key, "left")
     return joined.where(~F.col(HASH_DIFF).eqNullSafe(F.col("_known"))).select(*new.columns)
 
 
 def event_delta(
-    new: DataFrame,
-    hash_key: str,
-    stored: DataFrame | None = None,
-    carried: Sequence[str] = (),
-    rows: int | None = None,
+    new: DataFrame, hash_key: str, stored: DataFrame | None = None, carried: Sequence[str] = ()
 ) -> DataFrame:
     """Rows whose key and digest are not stored yet, each once.
 
@@ -166,7 +154,5 @@ def event_delta(
     distinct = new.dropDuplicates([hash_key, HASH_DIFF]) if carried else new.distinct()
     if stored is None:
         return distinct
-    known = rows_of_batch_keys(
-        stored.select(hash_key, HASH_DIFF), new, [hash_key], new.count() if rows is None else rows
-    )
+    known = stored.select(hash_key, HASH_DIFF)
     return distinct.join(known, [hash_key, HASH_DIFF], "left_anti").select(*new.columns)

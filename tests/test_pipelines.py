@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stratakeep.__main__ import run_job
 from stratakeep.functions import key_hash
+from stratakeep.operators import matching
 from stratakeep.plans import marts, pipelines
 from stratakeep.plans.views import register_views
 from stratakeep.plans.warehouse import Warehouse
@@ -187,7 +188,9 @@ PRODUCTS = [
 ]
 
 
-def test_cart_jobs_to_the_fact(spark, tmp_path):
+@pytest.mark.parametrize("worthwhile", [0, 1_000_000])
+def test_cart_jobs_to_the_fact(spark, tmp_path, monkeypatch, worthwhile):
+    monkeypatch.setattr(matching, "WORTHWHILE", worthwhile)
     root = str(tmp_path / "vault")
     one = Warehouse(spark, root, "one", datetime(2019, 8, 1, tzinfo=timezone.utc))
     carts = pipelines.load_carts(one, read(spark, "cart", land(tmp_path, "cart", "a", CARTS)))
