@@ -12,21 +12,30 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from stratakeep.plans.pipelines import DERIVED_JOBS, LANDING_JOBS, LoadResult
+from stratakeep.plans.pipelines import DERIVED_JOBS, LANDING_JOBS, JobOptions, LoadResult
 from stratakeep.plans.warehouse import Warehouse
 from stratakeep.session import SETTINGS
 from stratakeep.sources.landing import read_landing
 from stratakeep.sources.schemas import LANDING_SCHEMAS
 
 
-def run_job(spark: SparkSession, job: str, root: str, landing: str | None = None, load_id: str | None = None) -> LoadResult:
+def run_job(
+    spark: SparkSession,
+    job: str,
+    root: str,
+    landing: str | None = None,
+    load_id: str | None = None,
+    legacy: bool = False,
+    late: bool = False,
+) -> LoadResult:
     """Run a job by name and return what it loaded."""
     warehouse = Warehouse(spark, root, load_id)
     if job in DERIVED_JOBS:
-        return DERIVED_JOBS[job](warehouse)
+        return DERIVED_JOBS[job](warehouse, legacy)
     if landing is None:
         raise ValueError(f"job {job} needs a landing path")
-    return LANDING_JOBS[job](warehouse, read_landing(spark, landing, LANDING_SCHEMAS[job]))
+    options = JobOptions(legacy_dates=legacy, mode="batch" if legacy else "sequenced", late=late)
+    return LANDING_JOBS[job](warehouse, read_landing(spark, landing, LANDING_SCHEMAS[job]), options)
 
 
 def main(arguments: Sequence[str] | None = None) -> None:
@@ -35,6 +44,8 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--root", required=True, help="warehouse directory")
     parser.add_argument("--landing", help="landed files, may hold glob patterns")
     parser.add_argument("--load-id", help="name of the load; a rerun under the same name replaces it")
+    parser.add_argument("--legacy", action="store_true", help="literal historic dates, comparison and email rule")
+    parser.add_argument("--late", action="store_true", help="the batch may hold events older than stored ones")
     parser.add_argument("--rejects", help="directory for rows that could not be loaded")
     options = parser.parse_args(arguments)
 
@@ -42,7 +53,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    result = run_job(spark, options.job, options.root, options.landing, options.load_id)
+    result = run_job(spark, options.job, options.root, options.landing, options.load_id, options.legacy, options.late)
     for table, rows in result.rows.items():
         print(f"{table}: {rows} rows")
     if options.rejects and result.rejects is not None:

@@ -5,14 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from stratakeep.plans.pipelines import LANDING_JOBS
+from stratakeep.plans.pipelines import DEFAULT, LANDING_JOBS, JobOptions
 from stratakeep.plans.warehouse import Warehouse
 from stratakeep.sources.landing import read_landing
 from stratakeep.sources.schemas import LANDING_SCHEMAS
 
 
 def stream_landing(
-    spark: SparkSession, source: str, path: str, root: str, checkpoint: str, max_files: int | None = None
+    spark: SparkSession,
+    source: str,
+    path: str,
+    root: str,
+    checkpoint: str,
+    max_files: int | None = None,
+    options: JobOptions = DEFAULT,
 ) -> StreamingQuery:
     """Load files as they arrive under ``path``, then stop when none is left.
 
@@ -24,7 +30,7 @@ def stream_landing(
     job = LANDING_JOBS[source]
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        job(Warehouse(batch.sparkSession, root, load_id=f"stream-{source}-{batch_id}"), batch)
+        job(Warehouse(batch.sparkSession, root, load_id=f"stream-{source}-{batch_id}"), batch, options)
 
     landed = read_landing(spark, path, LANDING_SCHEMAS[source], streaming=True, max_files=max_files)
     return (

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from stratakeep.operators import ordered
 from tests.compare import canonical, oracle_connection
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -29,5 +30,16 @@ def test_query_matches_sql(spark, oracle, name):
     assert got_rows == canonical(want.columns, want.fetchall())
 
 
+@pytest.mark.parametrize(
+    "name",
+    ["sat_sequenced", "sat_event", "sat_link", "pit_customer", "dim_product", "dim_customer_history", "fact_adds_drops"],
+)
+def test_query_matches_sql_with_every_key_cut(spark, oracle, monkeypatch, name):
+    monkeypatch.setattr(ordered, "MAX_ROWS_PER_TASK", 10)
+    got = contract.queries()[name](spark, SF_DIR)
+    want = oracle.sql(contract.oracle_sql()[name])
+    assert canonical(got.columns, got.collect()) == canonical(want.columns, want.fetchall())
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0

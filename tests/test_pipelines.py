@@ -12,6 +12,7 @@ from stratakeep.__main__ import run_job
 from stratakeep.functions import key_hash
 from stratakeep.operators import matching
 from stratakeep.plans import marts, pipelines
+from stratakeep.plans.pipelines import JobOptions
 from stratakeep.plans.views import register_views
 from stratakeep.plans.warehouse import Warehouse
 from stratakeep.sources.landing import read_landing
@@ -247,6 +248,28 @@ def test_views_serve_the_tables_and_mart_in_sql(spark, customers):
     assert (row.n, row.closed, row.mails) == (6, 2, 3)
 
 
+def test_legacy_jobs_give_the_literal_loads(spark, tmp_path):
+    root = str(tmp_path / "vault")
+    path = land(tmp_path, "cart_item", "a", ITEMS)
+    assert run_job(spark, "cart_item", root, path, "one", legacy=True).rows["sat_cart_product"] == 4
+    sat = Warehouse(spark, root).read("sat_cart_product")
+    assert dict(sat.dtypes)["added_at_ts"] == "date" and dict(sat.dtypes)["event_at"] == "timestamp_ntz"
+    assert {str(r.added_at_ts) for r in sat.collect()} == {"1970-01-01", "1970-01-02", "1970-01-03"}
+    assert run_job(spark, "derive_carts", root, load_id="one", legacy=True).rows["sat_cart_adds_and_drops"] == 4
+    emails = land(tmp_path, "customer", "a", JULY + AUGUST)
+    run_job(spark, "customer", root, emails, "two", legacy=True)
+    assert run_job(spark, "derive_customers", root, load_id="two", legacy=True).rows == {"sat_customer_primary_email": 3}
+
+
+def test_late_documents_are_placed_by_event_time(spark, tmp_path):
+    root = str(tmp_path / "vault")
+    late = JobOptions(late=True)
+    for load, docs in (("one", [JULY[0], JULY[1]]), ("two", [JULY[0], JULY[2], JULY[1]])):
+        path = land(tmp_path, "customer", load, docs)
+        rows = pipelines.load_customers(Warehouse(spark, root, load), read(spark, "customer", path), late).rows
+    assert rows["sat_customer_collection"] == 1 and rows["sat_email"] == 0
+
+
 def test_jobs_run_by_name(spark, tmp_path):
     path, root = land(tmp_path, "customer", "a", JULY), str(tmp_path / "vault")
     assert run_job(spark, "customer", root, path, "one").rows["hub_customer"] == 3
