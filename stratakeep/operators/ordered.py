@@ -16,6 +16,7 @@ operators then cut the history of such keys into ordered pieces:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
@@ -31,26 +32,37 @@ MIN_PIECES = 2_000
 SAMPLES_PER_PIECE = 100
 
 _PIECE = "_piece"
-_CUTS = "_cuts"
+_BLOCK = "_block"
+_POINTS = "_points"
 _AT = "_at"
 
 
 @dataclass(frozen=True)
 class Cuts:
-    """Where oversized keys are cut. ``table`` is None when there are none."""
+    """Where oversized keys are cut.
+
+    The cut points of a key come in blocks of ``width``. ``heads`` holds per
+    key the first point of every block but the first, ``blocks`` the points of
+    each block. Both are None when no key is oversized.
+    """
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
     cut_on: tuple[str, ...]
     rows: int
-    table: DataFrame | None = None
-    depth: int = 0
+    heads: DataFrame | None = None
+    blocks: DataFrame | None = None
+    width: int = 0
     copies: bool = False
 
+    @property
+    def cut(self) -> bool:
+        return self.heads is not None
+
     @property
     def group(self) -> list[str]:
         """Columns that bound one task's share of rows."""
-        return [*self.keys, _PIECE] if self.table is not None else list(self.keys)
+        return [*self.keys, _PIECE] if self.cut else list(self.keys)
 
     def at(self) -> Column:
         return F.struct(*[F.col(name) for name in self.cut_on])
@@ -110,32 +122,57 @@ def find_cuts(
 
     distinct = {key: list(dict.fromkeys(points)) for key, points in by_key.items()}
     copies = any(len(distinct[key]) < len(points) for key, points in by_key.items())
+    width = math.isqrt(max(len(points) for points in distinct.values())) + 1
     fields = {field.name: field for field in picked.schema.fields}
-    schema = T.StructType([fields[k] for k in keys] + [T.StructField(_CUTS, T.ArrayType(fields[_AT].dataType))])
-    table = spark.createDataFrame([(*key, points) for key, points in distinct.items()], schema)
-    depth = max(len(points) for points in distinct.values()).bit_length()
-    return replace(plain, table=table, depth=depth, copies=copies)
+    of_key = [fields[k] for k in keys]
+    points_field = T.StructField(_POINTS, T.ArrayType(fields[_AT].dataType))
+    heads = [(*key, points[width::width]) for key, points in distinct.items()]
+    blocks = [
+        (*key, start // width, points[start : start + width])
+        for key, points in distinct.items()
+        for start in range(0, len(points), width)
+    ]
+    return replace(
+        plain,
+        heads=spark.createDataFrame(heads, T.StructType([*of_key, points_field])),
+        blocks=spark.createDataFrame(
+            blocks, T.StructType([*of_key, T.StructField(_BLOCK, T.IntegerType()), points_field])
+        ),
+        width=width,
+        copies=copies,
+    )
+
+
+def _points_passed(most: int) -> Column:
+    """How many of at most ``most`` sorted points lie at or below the row,
+    found by halving."""
+    strides = F.array(*[F.lit(1 << bit) for bit in reversed(range(most.bit_length()))])
+    return F.aggregate(
+        strides,
+        F.lit(0),
+        lambda low, stride: F.when(F.get(F.col(_POINTS), low + stride - 1) <= F.col(_AT), low + stride).otherwise(low),
+    )
 
 
 def with_piece(df: DataFrame, cuts: Cuts) -> DataFrame:
     """Add the piece number of each row: null for keys that are not cut.
 
-    The number of cut points at or below the row is found by halving, so a
-    row costs ``depth`` comparisons however many pieces its key has.
+    The piece is the number of cut points at or below the row, found first
+    among the heads of the blocks and then within one block. A row meets two
+    lists of about the square root of the number of pieces.
     """
-    if cuts.table is None:
+    if not cuts.cut:
         return df
-    strides = F.array(*[F.lit(1 << bit) for bit in reversed(range(cuts.depth))])
-    at_or_below = F.aggregate(
-        strides,
-        F.lit(0),
-        lambda low, stride: F.when(F.get(F.col(_CUTS), low + stride - 1) <= F.col(_AT), low + stride).otherwise(low),
-    )
+    keys = list(cuts.keys)
+    passed = F.when(F.col(_POINTS).isNotNull(), _points_passed(cuts.width))
     return (
-        df.join(F.broadcast(cuts.table), list(cuts.keys), "left")
-        .withColumn(_AT, cuts.at())
-        .withColumn(_PIECE, F.when(F.col(_CUTS).isNotNull(), at_or_below))
-        .drop(_CUTS, _AT)
+        df.withColumn(_AT, cuts.at())
+        .join(F.broadcast(cuts.heads), keys, "left")
+        .withColumn(_BLOCK, passed)
+        .drop(_POINTS)
+        .join(F.broadcast(cuts.blocks), [*keys, _BLOCK], "left")
+        .withColumn(_PIECE, F.col(_BLOCK) * cuts.width + passed)
+        .drop(_POINTS, _BLOCK, _AT)
     )
 
 
@@ -157,12 +194,14 @@ def _neighbour(df: DataFrame, cuts: Cuts, values: Mapping[str, str], forward: bo
     in_piece = Window.partitionBy(*cuts.group).orderBy(*cuts.order)
     shifted = parts.withColumn("_near", shift(value).over(in_piece))
     near = F.col("_near")
-    if cuts.table is not None:
+    if cuts.cut:
         over_pieces = Window.partitionBy(*cuts.keys).orderBy(_PIECE)
-        carry = _pieces(parts, cuts, pick(value, cuts.position())).withColumn("_carry", shift("_carry").over(over_pieces))
+        edges = _pieces(parts, cuts, pick(value, cuts.position()))
+        carry = edges.withColumn("_carry", shift("_carry").over(over_pieces))
         shifted = _join_carry(shifted, carry, cuts)
         near = F.coalesce(near, F.col("_carry"))
-    return shifted.withColumn("_near", near).select(*kept, *[F.col("_near")[name].alias(name) for name in values])
+    found = [F.col("_near")[name].alias(name) for name in values]
+    return shifted.withColumn("_near", near).select(*kept, *found)
 
 
 def previous_values(df: DataFrame, cuts: Cuts, values: Mapping[str, str]) -> DataFrame:
@@ -188,7 +227,7 @@ def running_max(df: DataFrame, cuts: Cuts, columns: Sequence[str]) -> DataFrame:
         .orderBy(*cuts.order)
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    if cuts.table is None:
+    if not cuts.cut:
         return parts.select(*others, *[F.max(name).over(in_piece).alias(name) for name in columns])
     within = parts.select(
         *dict.fromkeys([*others, _PIECE]), *[F.max(name).over(in_piece).alias(name) for name in columns]

@@ -140,10 +140,9 @@ ORACLE: dict[str, str] = {
         FROM events""",
     "unix_time_legacy": """
         SELECT event_id,
-               cast(TIMESTAMP '1970-01-01' + to_seconds((epoch_us(ts) // 1000) - 1562173938000) AS date) AS created_at_ts,
-               CASE WHEN value > 50 THEN
-                    cast(TIMESTAMP '1970-01-01' + to_seconds((epoch_us(ts) // 1000) - 1562173938000) AS date) END AS updated_at_ts
-        FROM events""",
+               cast(TIMESTAMP '1970-01-01' + to_seconds(seconds) AS date) AS created_at_ts,
+               CASE WHEN value > 50 THEN cast(TIMESTAMP '1970-01-01' + to_seconds(seconds) AS date) END AS updated_at_ts
+        FROM (SELECT *, (epoch_us(ts) // 1000) - 1562173938000 AS seconds FROM events)""",
     "ingest_json": """
         SELECT cast(user_id AS varchar) AS _id, event_id, event_type,
                cast(json_extract_string(props, '$.k') AS bigint) AS quantity,
@@ -253,7 +252,8 @@ ORACLE: dict[str, str] = {
         deltas AS (
             SELECT *, coalesce(lag(quantity) OVER (PARTITION BY l_orderkey, l_partkey ORDER BY l_shipdate), 0) AS before
             FROM lines)
-        SELECT md5(cast(l_partkey AS varchar)) AS product_hash_key, md5(cast(o_custkey AS varchar)) AS customer_hash_key,
+        SELECT md5(cast(l_partkey AS varchar)) AS product_hash_key,
+               md5(cast(o_custkey AS varchar)) AS customer_hash_key,
                CASE WHEN NOT removed AND quantity > before THEN quantity - before ELSE 0 END AS quantity_added,
                CASE WHEN removed THEN quantity WHEN quantity < before THEN before - quantity ELSE 0 END
                    AS quantity_dropped,

@@ -45,7 +45,8 @@ def read_loads(
     leaves out one load and ``only_load`` all others, by partition pruning.
     """
     if schema is not None:
-        schema = T.StructType([*[f for f in schema.fields if f.name != LOAD_ID], T.StructField(LOAD_ID, T.StringType())])
+        fields = [field for field in schema.fields if field.name != LOAD_ID]
+        schema = T.StructType([*fields, T.StructField(LOAD_ID, T.StringType())])
     if not _exists(spark, f"{path}/{LOAD_ID}=*"):
         return None
     table = _open(spark, path, schema)
