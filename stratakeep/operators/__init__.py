@@ -2,7 +2,15 @@ from stratakeep.operators.business import cart_adds_and_drops, explode_emails, p
 from stratakeep.operators.hub import hub_rows
 from stratakeep.operators.link import link_rows
 from stratakeep.operators.matching import rows_of_batch_keys
-from stratakeep.operators.ordered import Cuts, find_cuts, latest_per_key, next_values, previous_values, running_max
+from stratakeep.operators.ordered import (
+    Cuts,
+    find_cuts,
+    join_one_per_key,
+    latest_per_key,
+    next_values,
+    previous_values,
+    running_max,
+)
 from stratakeep.operators.pit import pit_rows
 from stratakeep.operators.satellite import (
     batch_delta,
@@ -20,6 +28,7 @@ __all__ = [
     "explode_emails",
     "find_cuts",
     "hub_rows",
+    "join_one_per_key",
     "latest_per_key",
     "link_rows",
     "link_satellite_rows",

@@ -245,6 +245,25 @@ def running_max(df: DataFrame, cuts: Cuts, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def join_one_per_key(left: DataFrame, right: DataFrame, cuts: Cuts, how: str) -> DataFrame:
+    """Join on ``cuts.keys``, of which ``right`` holds at most one row each.
+
+    ``cuts`` were found for the rows of ``left``. Rows of oversized keys are
+    not shuffled: the right side has one row for each such key, so those rows
+    are as few as the keys and are broadcast. All other rows take the plain
+    join. Adaptive execution would split only a join whose two sides are both
+    read straight from a shuffle.
+    """
+    keys = list(cuts.keys)
+    if not cuts.cut:
+        return left.join(right, keys, how)
+    oversized = F.broadcast(cuts.heads.select(*keys))
+    few = F.broadcast(right.join(oversized, keys, "left_semi"))
+    large = left.join(oversized, keys, "left_semi").join(few, keys, how)
+    rest = left.join(oversized, keys, "left_anti").join(right, keys, how)
+    return large.unionByName(rest)
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row of each key by ``order``.
 

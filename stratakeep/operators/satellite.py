@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratakeep.functions.hashing import joined_key, key_hash, row_hash
-from stratakeep.operators.ordered import find_cuts, latest_per_key, previous_values
+from stratakeep.operators.ordered import find_cuts, join_one_per_key, latest_per_key, previous_values
 
 HASH_DIFF = "hash_diff"
 LOADED_AT = "loaded_at"
@@ -126,19 +126,25 @@ def sequenced_delta(
 
 
 def batch_delta(
-    new: DataFrame, hash_key: str, sequence: str | None = None, stored: DataFrame | None = None
+    new: DataFrame,
+    hash_key: str,
+    sequence: str | None = None,
+    stored: DataFrame | None = None,
+    max_rows: int | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Distinct rows whose digest differs from the latest stored row of the key.
 
     Rows of one batch are not compared with each other. Copies are combined
-    before the shuffle; the join is on unique stored keys, so an oversized key
-    of the batch can be split by adaptive execution.
+    before the shuffle; rows of an oversized key meet its one stored row
+    without one.
     """
     distinct = new.distinct()
     if stored is None:
         return distinct
     latest = latest_per_key(stored, [hash_key], _order(sequence)).select(hash_key, F.col(HASH_DIFF).alias("_known"))
-    joined = distinct.join(latest, hash_key, "left")
+    cuts = find_cuts(new, [hash_key], [sequence or LOADED_AT], max_rows, rows=rows)
+    joined = join_one_per_key(distinct, latest, cuts, "left")
     return joined.where(~F.col(HASH_DIFF).eqNullSafe(F.col("_known"))).select(*new.columns)
 
 
