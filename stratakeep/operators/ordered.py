@@ -30,6 +30,8 @@ MAX_ROWS_PER_TASK = 1_000_000
 MIN_PIECES = 2_000
 # Sampled rows wanted per piece, so that piece sizes are near the target.
 SAMPLES_PER_PIECE = 100
+# Into how many groups rows are spread that need no partner in a join.
+SPREAD = 100_000
 
 _PIECE = "_piece"
 _BLOCK = "_block"
@@ -248,20 +250,35 @@ def running_max(df: DataFrame, cuts: Cuts, columns: Sequence[str]) -> DataFrame:
 def join_one_per_key(left: DataFrame, right: DataFrame, cuts: Cuts, how: str) -> DataFrame:
     """Join on ``cuts.keys``, of which ``right`` holds at most one row each.
 
-    ``cuts`` were found for the rows of ``left``. Rows of oversized keys are
-    not shuffled: the right side has one row for each such key, so those rows
-    are as few as the keys and are broadcast. All other rows take the plain
-    join. Adaptive execution would split only a join whose two sides are both
-    read straight from a shuffle.
+    ``cuts`` were found for the rows of ``left``; ``how`` is left or left_semi.
+    The right side has one row for each oversized key, so these rows are as few
+    as the keys and are broadcast. Left rows that found theirs, or that have a
+    null key, are spread evenly over the shuffle of the remaining join, which
+    they cannot match. Adaptive execution alone would split only a join whose
+    two sides are both read straight from a shuffle.
     """
     keys = list(cuts.keys)
     if not cuts.cut:
         return left.join(right, keys, how)
-    oversized = F.broadcast(cuts.heads.select(*keys))
-    few = F.broadcast(right.join(oversized, keys, "left_semi"))
-    large = left.join(oversized, keys, "left_semi").join(few, keys, how)
-    rest = left.join(oversized, keys, "left_anti").join(right, keys, how)
-    return large.unionByName(rest)
+    added = [name for name in right.columns if name not in keys] if how == "left" else []
+    value = F.struct(*[F.col(name) for name in added], F.lit(True).alias("_hit"))
+    rows = right.select(*keys, value.alias("_found"), F.lit(0).alias("_spread"))
+    oversized = cuts.heads.select(*keys, F.lit(True).alias("_oversized"))
+    present = rows.join(F.broadcast(oversized), keys, "left_semi").select(*keys, F.col("_found").alias("_few"))
+    few = oversized.join(F.broadcast(present), keys, "left")
+    settled = F.col("_oversized").isNotNull()
+    for key in keys:
+        settled = settled | F.col(key).isNull()
+    anywhere = F.pmod(F.hash(*left.columns), F.lit(SPREAD)) + 1
+    found = F.coalesce("_few", "_found")
+    joined = (
+        left.join(F.broadcast(few), keys, "left")
+        .withColumn("_spread", F.when(settled, anywhere).otherwise(0))
+        .join(rows, [*keys, "_spread"], "left")
+    )
+    if how == "left_semi":
+        return joined.where(found.isNotNull()).select(*left.columns)
+    return joined.select(*left.columns, *[found[name].alias(name) for name in added])
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -9,7 +9,14 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from stratakeep.operators.ordered import find_cuts, latest_per_key, next_values, previous_values, running_max
+from stratakeep.operators.ordered import (
+    find_cuts,
+    join_one_per_key,
+    latest_per_key,
+    next_values,
+    previous_values,
+    running_max,
+)
 
 DAY = datetime(2024, 1, 1)
 SCHEMA = "k string, at timestamp_ntz, seq long, v string, m long"
@@ -85,6 +92,19 @@ def test_copies_are_reported(spark):
     assert not find_cuts(spread, ["k"], ["at"], max_rows=200).copies
 
 
+@pytest.mark.parametrize("max_rows", [40, 10_000])
+def test_join_with_one_row_per_key(spark, max_rows):
+    df = spark.createDataFrame(make_rows(4), SCHEMA)
+    cuts = find_cuts(df, ["k"], ["at", "seq"], max_rows=max_rows)
+    for keys in (["hot", "a", "b"], ["a", "z"]):
+        right = spark.createDataFrame([(k, f"of {k}", None) for k in keys], "k string, label string, spare int")
+        for how in ("left", "left_semi"):
+            want = df.join(right, "k", how)
+            got = join_one_per_key(df, right, cuts, how)
+            assert sorted(got.columns) == sorted(want.columns)
+            assert sorted(map(repr, got.select(*want.columns).collect())) == sorted(map(repr, want.collect()))
+
+
 def test_latest_per_key_keeps_one_row_and_limits_before_the_shuffle(spark):
     rows = make_rows(3)
     df = spark.createDataFrame(rows, SCHEMA)
