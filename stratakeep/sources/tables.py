@@ -95,10 +95,15 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a session without that setting, such as a local test, gets a
-    temporary folder of its own machine.
+    Only a local session without that setting, such as a test, gets a
+    temporary folder; on a cluster the setting is required, because its
+    executors do not see each other's disks.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="stratakeep-")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        shared = tempfile.mkdtemp(prefix="stratakeep-")
     return f"{shared.rstrip('/')}/stratakeep/{name}-{uuid.uuid4().hex}"
 
 
