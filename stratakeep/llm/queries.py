@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratakeep.llm import simhash
+import public_tokenizers
+
+from stratakeep.llm import byte_bpe, simhash, token_counts
+
+# Vocabulary files, installed on every machine.
+MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+ENGLISH_BPE = public_tokenizers.path("byte_bpe_50k.json")
+TOKEN_LIMIT = 512
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,8 +27,33 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_text().alias("fingerprint"), "component_id")
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents and what they decode to, as digests."""
+    docs = _table(spark, sf_dir, "documents")
+    encoded = byte_bpe.encode(docs, MULTI_RANKS, public_tokenizers.PATTERN, ["doc_id"])
+    decoded = byte_bpe.decode(encoded, MULTI_RANKS)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents, read off the counts of their prefixes."""
+    docs = _table(spark, sf_dir, "documents").withColumn("n_bytes", F.octet_length(F.coalesce("text", F.lit(""))).cast("long"))
+    counted = token_counts.prefix_counts(docs, ENGLISH_BPE, ["doc_id", "n_bytes"])
+    tokens = token_counts.total_tokens("prefix_counts")
+    return counted.select(
+        "doc_id", "n_bytes", tokens.cast("long").alias("n_tokens"), (tokens > TOKEN_LIMIT).alias("over_limit")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
+    "op3_byte_bpe": op3_byte_bpe,
+    "op5_token_counts": op5_token_counts,
 }
 
 ORACLE: dict[str, str] = {}
