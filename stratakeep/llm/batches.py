@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Rows handled at once in Python; a slice of an Arrow batch.
 SLICE_ROWS = 512
@@ -34,10 +35,11 @@ def map_texts(
     models and caches are made once per task. ``fields`` is the DDL of the new
     columns. A carried column of the same name is replaced by the new one.
     """
-    new = [part.split()[0] for part in fields.split(", ")]
+    added = T.StructType.fromDDL(fields)
+    new = added.names
     kept = [name for name in carried if name not in new]
     source = df.select(*kept, F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]], fields])
+    schema = T.StructType([*source.schema.fields[:-1], *added.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = start()

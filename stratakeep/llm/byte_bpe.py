@@ -17,6 +17,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
 from stratakeep.llm.batches import map_texts, slices
@@ -142,5 +143,4 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
             joined = [b"".join(values[end - n : end]) for n, end in zip(lengths, ends, strict=True)]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(joined, pa.binary())], names=[*others, "decoded"])
 
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields], "decoded binary"])
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(run, T.StructType([*source.schema.fields, T.StructField("decoded", T.BinaryType())]))

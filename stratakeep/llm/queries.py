@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from stratakeep.llm import byte_bpe, simhash, token_counts
+from stratakeep.llm import byte_bpe, quality_classifier, quality_rules, simhash, token_counts
+from stratakeep.llm.batches import remainder
+from stratakeep.llm.text_stats import NAMES
 
 # Vocabulary files, installed on every machine.
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -21,6 +23,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of all documents and whether the quality rules keep them."""
+    found = quality_rules.judged(_table(spark, sf_dir, "documents"))
+    limits = [name for name in found.columns if name.startswith(("most_", "least_"))]
+    return found.select("doc_id", *NAMES, *limits, "base_failed", "kept")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -50,10 +59,24 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents; a fifth of the ids is held out of training."""
+    docs = _table(spark, sf_dir, "documents")
+    model = quality_classifier.train(docs, _table(spark, sf_dir, "labels"))
+    return quality_classifier.scored(docs, model, ["doc_id"]).select(
+        "doc_id",
+        F.coalesce(remainder(F.col("doc_id"), quality_classifier.HELD_OUT_MODULUS) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= quality_classifier.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_token_counts": op5_token_counts,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLE: dict[str, str] = {}
