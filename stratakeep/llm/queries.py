@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from stratakeep.llm import byte_bpe, quality_classifier, quality_rules, simhash, token_counts
+from stratakeep.llm import byte_bpe, mixing, pii, quality_classifier, quality_rules, simhash, token_counts
+from stratakeep.llm.oracle import ORACLE
 from stratakeep.llm.batches import remainder
 from stratakeep.llm.text_stats import NAMES
 
@@ -59,6 +60,22 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed by the square root of their sources' sizes."""
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    found = pii.find(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        *[pii.count_of(kind).alias(f"n_{kind}") for kind in pii.BASE],
+        F.sha2(pii.written(pii.base_only()), 256).alias("base_sha256"),
+        pii.written(F.col("spans")).alias("spans"),
+    )
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents; a fifth of the ids is held out of training."""
     docs = _table(spark, sf_dir, "documents")
@@ -76,7 +93,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_token_counts": op5_token_counts,
+    "op6_mixing": op6_mixing,
+    "op7_pii": op7_pii,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]

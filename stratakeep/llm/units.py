@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 
 # Units kept per Python worker; the cache starts anew beyond that.
-CACHE_UNITS = 500_000
+CACHE_UNITS = 300_000
 # Longer units are not worth keeping.
 CACHE_CHARS = 200
 
