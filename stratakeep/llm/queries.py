@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from stratakeep.llm import byte_bpe, mixing, pii, quality_classifier, quality_rules, simhash, token_counts
+from stratakeep.llm import byte_bpe, lattice_lm, mixing, pii, quality_classifier, quality_rules, simhash, token_counts
 from stratakeep.llm.oracle import ORACLE
 from stratakeep.llm.batches import remainder
 from stratakeep.llm.text_stats import NAMES
@@ -18,6 +18,7 @@ from stratakeep.llm.text_stats import NAMES
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 ENGLISH_BPE = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT = 512
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +77,12 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of all documents; a fifth is held out of training."""
+    docs = _table(spark, sf_dir, "documents")
+    return lattice_lm.scored(docs, lattice_lm.train(docs, PIECES))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents; a fifth of the ids is held out of training."""
     docs = _table(spark, sf_dir, "documents")
@@ -95,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": op5_token_counts,
     "op6_mixing": op6_mixing,
     "op7_pii": op7_pii,
+    "op8_lattice_lm": op8_lattice_lm,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
