@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from stratakeep.llm import byte_bpe, lattice_lm, mixing, pii, quality_classifier, quality_rules, simhash, token_counts
+from stratakeep.llm import byte_bpe, chat, collisions, lattice_lm, mixing, pii, quality_classifier, quality_rules, simhash, token_counts
 from stratakeep.llm.oracle import ORACLE
 from stratakeep.llm.batches import remainder
 from stratakeep.llm.text_stats import NAMES
+from stratakeep.sources.tables import stage
 
 # Vocabulary files, installed on every machine.
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -51,6 +52,51 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _written(role: Column, text: Column, style: Column) -> Column:
+    """The lines of a turn in one of four styles of transcripts: a name and a
+    colon, a heading, a name in brackets on its own line, a blank line only."""
+    capital = F.initcap(role)
+    head = (
+        F.when(style == 0, F.concat(capital, F.lit(": ")))
+        .when(style == 1, F.concat(F.lit("### "), F.when(role == "user", "Human").otherwise(capital), F.lit(":\n")))
+        .when(style == 2, F.concat(F.lit("["), role, F.lit("]\n")))
+        .otherwise("\n")
+    )
+    return F.split(F.concat(head, text), "\n", -1)
+
+
+def transcripts(conversations: DataFrame) -> DataFrame:
+    """Pieces of ``conversations`` as people write them down, with ``state``,
+    the true state of each line; a null role is a user's, a null text empty."""
+    role = F.when(F.col("role").isin(*chat.ROLES), F.col("role")).otherwise("user")
+    style = F.pmod(F.crc32(F.coalesce(F.col("conv_id").cast("string"), F.lit("")).cast("binary")), F.lit(4))
+    first = F.element_at(F.create_map(*[F.lit(x) for i, r in enumerate(chat.ROLES) for x in (r, 2 * i)]), role)
+    lines = F.transform(
+        _written(role, F.coalesce("text", F.lit("")), style),
+        lambda line, at: F.struct(line.alias("line"), (first + (at > 0).cast("int")).cast("long").alias("state")),
+    )
+    return chat.pieces(conversations, "conv_id", "turn", lines)
+
+
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roles and canonical turns recovered from all conversations, written down
+    as transcripts; the model learns from four fifths of them."""
+    known = stage(transcripts(_table(spark, sf_dir, "conversations")), "transcripts")
+    held_out = F.coalesce(remainder(F.col("key"), 5) == 0, F.lit(False))
+    model = chat.train(known.where(~held_out))
+    parsed = chat.parse(known.select("key", "piece", F.transform("lines", lambda x: x["line"]).alias("lines")), model)
+    roles = F.transform("states", lambda s: F.element_at(F.array(*[F.lit(r) for r, _ in chat.STATES]), s + 1))
+    return parsed.select(
+        F.col("key").alias("conv_id"),
+        "piece",
+        F.coalesce(remainder(F.col("key"), 5) == 0, F.lit(False)).alias("held_out"),
+        F.size("lines").cast("long").alias("n_lines"),
+        "n_turns",
+        F.array_join(roles, ",").alias("roles"),
+        "rendered",
+    )
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents, read off the counts of their prefixes."""
     docs = _table(spark, sf_dir, "documents").withColumn("n_bytes", F.octet_length(F.coalesce("text", F.lit(""))).cast("long"))
@@ -83,6 +129,11 @@ def op8_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.scored(docs, lattice_lm.train(docs, PIECES))
 
 
+def op9_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of all embeddings for every fiftieth id."""
+    return collisions.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents; a fifth of the ids is held out of training."""
     docs = _table(spark, sf_dir, "documents")
@@ -99,10 +150,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_chat": op4_chat,
     "op5_token_counts": op5_token_counts,
     "op6_mixing": op6_mixing,
     "op7_pii": op7_pii,
     "op8_lattice_lm": op8_lattice_lm,
+    "op9_collisions": op9_collisions,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
