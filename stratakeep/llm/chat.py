@@ -221,30 +221,19 @@ def rendered(lines: list[str], states: list[int], opened: bool, closes: bool) ->
     """Canonical form: each turn as ``<|role|>``, its lines and ``<|end|>``.
 
     ``opened``: a turn goes on from the piece before; ``closes``: no piece follows.
-    Markers are taken out; blank lines at the ends of a turn, too.
+    The marker of a turn's first line is taken out, and that line if nothing
+    else is in it; all other lines stay as they are.
     """
     out: list[str] = []
-    turn: list[str] = []
-
-    def close() -> None:
-        out.append("\n".join(turn).strip("\n") + "\n<|end|>\n")
-        turn.clear()
-
     for line, state in zip(lines, states, strict=True):
         role, begins = STATES[state]
         if begins or not opened:
-            if opened:
-                close()
-            out.append(f"<|{role}|>\n")
+            out.append(f"<|end|>\n<|{role}|>\n" if opened else f"<|{role}|>\n")
             opened = True
         text = marker(line)[1] if begins else line
-        if text or turn:
-            turn.append(text)
-    if closes:
-        close()
-    elif turn:
-        out.append("\n".join(turn) + "\n")
-    return "".join(out)
+        if text or not begins:
+            out.append(text + "\n")
+    return "".join(out) + ("<|end|>\n" if closes else "")
 
 
 def parse(transcripts: DataFrame, model: Model) -> DataFrame:

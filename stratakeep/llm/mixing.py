@@ -47,7 +47,7 @@ def rates(
     if weights is None:
         weighed = counts.withColumn("weight", F.pow("docs", F.lit(float(temperature))))
     else:
-        given = docs.sparkSession.createDataFrame(list(weights.items()), "_source string, weight double")
+        given = docs.sparkSession.createDataFrame([(name, float(x)) for name, x in weights.items()], "_source string, weight double")
         weighed = counts.join(F.broadcast(given), F.col("source").eqNullSafe(F.col("_source")), "left")
         weighed = weighed.select("source", "docs", F.coalesce("weight", F.lit(0.0)).alias("weight"))
     weighed = stage(weighed, "source-weights")

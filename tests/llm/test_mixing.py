@@ -1,0 +1,62 @@
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import functions as F
+
+from stratakeep.llm import mixing
+from stratakeep.llm.queries import QUERIES
+from stratakeep.llm.oracle import ORACLE
+from tests.compare import canonical, oracle_connection
+from tests.llm.conftest import SF_DIR
+
+
+def test_query_matches_sql(spark):
+    got = QUERIES["op6_mixing"](spark, SF_DIR)
+    want = oracle_connection(SF_DIR).sql(ORACLE["op6_mixing"])
+    assert canonical(got.columns, got.collect()) == canonical(want.columns, want.fetchall())
+
+
+def test_distribution_is_poisson(spark):
+    for rate in (0.0, 0.3, 2.0, 15.5):
+        upto = spark.range(1).select(mixing._distribution(F.lit(rate)).alias("x")).first()["x"]
+        total, p = 0.0, math.exp(-rate)
+        for k, value in enumerate(upto):
+            total += p
+            assert abs(value - total) < 1e-12
+            p *= rate / (k + 1)
+        assert abs(upto[-1] - 1) < 1e-12
+
+
+def test_sources_come_near_their_weights(spark):
+    docs = spark.range(40_000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 100 < 90, "big").when(F.col("id") % 100 < 99, "mid").alias("source")
+    )
+    mixed = mixing.mix(docs, weights={"big": 1, "mid": 2, None: 7}, size=30_000)
+    counts = {row["source"]: row["count"] for row in mixed.groupBy("source").count().collect()}
+    for name, share in (("big", 0.1), ("mid", 0.2), (None, 0.7)):
+        assert abs(counts[name] - 30_000 * share) < 6 * math.sqrt(30_000 * share * 8)
+    # A rate above the largest drawn at once: 21,000 rows from 400 documents.
+    spread = mixed.where("source IS NULL").groupBy("doc_id").count().agg(F.avg("count"), F.variance("count")).first()
+    assert abs(spread[0] - 52.5) < 2 and 35 < spread[1] < 75
+    again = mixing.mix(docs.repartition(3), weights={"big": 1, "mid": 2, None: 7}, size=30_000)
+    assert again.exceptAll(mixed).count() == 0 and again.count() == mixed.count()
+    assert mixing.mix(docs, weights={"big": 1}).select("source").distinct().count() == 1
+
+
+def test_rows_are_shuffled_globally(spark):
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"))
+    ids = [row["doc_id"] for row in mixing.mix(docs).collect()]
+    n = len(ids)
+    mean = (n - 1) / 2
+    rank = sorted(range(n), key=lambda i: ids[i])
+    correlation = sum((a - mean) * (b - mean) for a, b in enumerate(rank)) / sum((a - mean) ** 2 for a in range(n))
+    assert abs(correlation) < 0.05
+
+
+def test_odd_rows(edge_docs, empty_docs):
+    mixed = mixing.mix(edge_docs, size=200)
+    assert mixed.columns == [*[c for c in edge_docs.columns if c != "copy"], "copy", "shuffle_key"]
+    counts = mixed.where("doc_id = 2").groupBy("copy").count().collect()
+    assert all(row["count"] == 2 for row in counts)
+    assert mixing.mix(empty_docs).count() == 0
