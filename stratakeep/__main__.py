@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import SparkSession
 
@@ -27,10 +28,13 @@ def run_job(
     load_id: str | None = None,
     legacy: bool = False,
     late: bool = False,
+    load_ts: datetime | None = None,
 ) -> LoadResult:
     """Run a job by name and return what it loaded."""
-    warehouse = Warehouse(spark, root, load_id)
+    warehouse = Warehouse(spark, root, load_id, load_ts)
     if job in DERIVED_JOBS:
+        if late:
+            raise ValueError(f"job {job} reads stored tables and has no late events")
         return DERIVED_JOBS[job](warehouse, legacy)
     if landing is None:
         raise ValueError(f"job {job} needs a landing path")
@@ -44,6 +48,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--root", required=True, help="warehouse directory")
     parser.add_argument("--landing", help="landed files, may hold glob patterns")
     parser.add_argument("--load-id", help="name of the load; a rerun under the same name replaces it")
+    parser.add_argument("--load-ts", type=datetime.fromisoformat, help="time of the load, ISO 8601, UTC if without zone")
     parser.add_argument("--legacy", action="store_true", help="literal historic dates, comparison and email rule")
     parser.add_argument("--late", action="store_true", help="the batch may hold events older than stored ones")
     parser.add_argument("--rejects", help="directory for rows that could not be loaded")
@@ -53,7 +58,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    result = run_job(spark, options.job, options.root, options.landing, options.load_id, options.legacy, options.late)
+    result = run_job(spark, options.job, options.root, options.landing, options.load_id, options.legacy, options.late, options.load_ts)
     for table, rows in result.rows.items():
         print(f"{table}: {rows} rows")
     if options.rejects and result.rejects is not None:

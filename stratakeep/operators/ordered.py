@@ -260,6 +260,8 @@ def join_one_per_key(left: DataFrame, right: DataFrame, cuts: Cuts, how: str) ->
     keys = list(cuts.keys)
     if not cuts.cut:
         return left.join(right, keys, how)
+    if how == "left_semi":
+        right = right.select(*keys).distinct()
     added = [name for name in right.columns if name not in keys] if how == "left" else []
     value = F.struct(*[F.col(name) for name in added], F.lit(True).alias("_hit"))
     rows = right.select(*keys, value.alias("_found"), F.lit(0).alias("_spread"))

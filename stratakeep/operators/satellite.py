@@ -109,14 +109,13 @@ def sequenced_delta(
     fresh = new.withColumn("_new", F.lit(True))
     position = [sequence, "_new", LOADED_AT, HASH_DIFF] if late else ["_new", *order]
     position = list(dict.fromkeys(position))
-    cut_on = position[:-1] if sequence else position
     if stored is not None:
         before = stored if late else latest_per_key(stored, [hash_key], order)
         before = before.select(hash_key, *order).withColumn("_new", F.lit(False))
     if stored is not None and late:
-        cuts = find_cuts(fresh.unionByName(before, allowMissingColumns=True), [hash_key], position, max_rows, cut_on)
+        cuts = find_cuts(fresh.unionByName(before, allowMissingColumns=True), [hash_key], position, max_rows)
     else:
-        cuts = find_cuts(fresh, [hash_key], position, max_rows, cut_on, rows)
+        cuts = find_cuts(fresh, [hash_key], position, max_rows, rows=rows)
     if cuts.copies:
         fresh = fresh.dropDuplicates([hash_key, *order])
     placed = fresh if stored is None else fresh.unionByName(before, allowMissingColumns=True)

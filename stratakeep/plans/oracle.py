@@ -44,7 +44,7 @@ _LANDED = """
 _POINTS = """
     SELECT md5(cast(user_id AS varchar)) AS customer_hash_key, ts AS loaded_at, ts AS seen_at,
            cast(NULL AS timestamp) AS bought_at
-    FROM events WHERE event_type IN ('click', 'view')
+    FROM events WHERE event_type <> 'purchase'
     UNION ALL
     SELECT md5(cast(user_id AS varchar)), cast(date_trunc('day', ts) AS timestamp), NULL,
            cast(date_trunc('day', ts) AS timestamp)
@@ -90,22 +90,18 @@ ORACLE: dict[str, str] = {
                    || cast(ts AS varchar) || '|' || cast(cast(value AS decimal(18, 2)) AS varchar)) AS hash_diff
         FROM events""",
     "sat_customer": """
-        SELECT cast(c_custkey AS varchar) AS _id, c_name, c_nationkey, c_mktsegment,
-               cast(c_acctbal AS decimal(18, 2)) AS c_acctbal,
-               md5(cast(c_custkey AS varchar) || '|' || cast(cast(c_acctbal AS decimal(18, 2)) AS varchar) || '|'
-                   || c_mktsegment || '|' || c_name || '|' || cast(c_nationkey AS varchar)) AS hash_diff,
-               md5(cast(c_custkey AS varchar)) AS customer_hash_key,
+        WITH versions AS (SELECT cast(o_custkey AS varchar) AS _id, o_orderstatus AS state, o_orderkey FROM orders),
+        compared AS (SELECT *, lag(state) OVER (PARTITION BY _id ORDER BY o_orderkey) AS before FROM versions)
+        SELECT _id, state, o_orderkey, md5(_id || '|' || state) AS hash_diff, md5(_id) AS customer_hash_key,
                TIMESTAMP '2024-02-01 00:00:00' AS loaded_at, 'app_customer_collection' AS record_source
-        FROM customer""",
+        FROM compared WHERE before IS NULL OR before <> state""",
     "sat_batch_delta": f"""
         WITH s AS ({_SAT_ACTIVITY}),
-        ranked AS (SELECT *, loaded_at >= TIMESTAMP '2024-01-15 00:00:00' AS is_new,
-                          row_number() OVER (PARTITION BY user_hash_key, loaded_at >= TIMESTAMP '2024-01-15 00:00:00'
-                                             ORDER BY loaded_at DESC) AS n FROM s)
-        SELECT new._id, new.event_type, new.hash_diff, new.user_hash_key, new.loaded_at, new.record_source
-        FROM (SELECT * FROM ranked WHERE n = 1 AND is_new) new
-        LEFT JOIN (SELECT * FROM ranked WHERE n = 1 AND NOT is_new) old ON new.user_hash_key = old.user_hash_key
-        WHERE old.hash_diff IS NULL OR old.hash_diff <> new.hash_diff""",
+        known AS (SELECT user_hash_key, arg_max(hash_diff, loaded_at) AS hash_diff FROM s
+                  WHERE loaded_at < TIMESTAMP '2024-01-15 00:00:00' GROUP BY user_hash_key)
+        SELECT DISTINCT s.* FROM s LEFT JOIN known USING (user_hash_key)
+        WHERE s.loaded_at >= TIMESTAMP '2024-01-15 00:00:00'
+          AND (known.hash_diff IS NULL OR known.hash_diff <> s.hash_diff)""",
     "sat_sequenced": f"""
         WITH s AS ({_SAT_ACTIVITY})
         SELECT _id, event_type, hash_diff, user_hash_key, loaded_at, record_source
@@ -200,7 +196,7 @@ ORACLE: dict[str, str] = {
                    arg_max(cast(user_id AS varchar) || '@' || cast(event_id AS varchar), ts) AS primary_email
             FROM events WHERE event_type = 'purchase' GROUP BY ALL),
         seen AS (SELECT *, md5(cast(user_id AS varchar)) AS customer_hash_key
-                 FROM events WHERE event_type IN ('click', 'view'))
+                 FROM events WHERE event_type <> 'purchase')
         SELECT p.customer_hash_key, p.loaded_at AS valid_from, p.valid_to, e.primary_email,
                s.event_type AS currency, cast(s.user_id AS varchar) AS first_name,
                cast(s.event_id AS varchar) AS last_name, cast(s.value AS decimal(18, 2)) AS total_spent,
@@ -217,6 +213,12 @@ ORACLE: dict[str, str] = {
         SELECT md5(product_id) AS product_hash_key, md5('owner ' || left(cart_id, 1)) AS customer_hash_key,
                quantity_added, quantity_dropped, event_time
         FROM ({_ADDS_AND_DROPS})""",
+    "job_rerun": """
+        SELECT md5(cast(p_partkey AS varchar)) AS product_hash_key,
+               cast(cast(p_retailprice AS decimal(18, 2)) * 100 AS bigint) + CASE WHEN day = 2 THEN 100 ELSE 0 END
+                   AS sale_price_in_cents,
+               TIMESTAMP '2024-02-01 00:00:00' + to_days(cast(day - 1 AS integer)) AS loaded_at
+        FROM part, unnest([1, 2, 3]) AS days(day)""",
     "job_products": """
         WITH base AS (
             SELECT md5(cast(p_partkey AS varchar)) AS product_hash_key, *,

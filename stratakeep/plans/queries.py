@@ -151,10 +151,10 @@ def email_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 
 
 def point_satellites(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Clicks and views at their time; purchases at the start of their day, so
-    that several rows of a user share one load time."""
+    """Purchases at the start of their day, so that several rows of a user
+    share one load time; all other events at their own time."""
     events = table(spark, sf_dir, "events").withColumn("customer_hash_key", key_hash("user_id"))
-    seen = events.where(F.col("event_type").isin("click", "view")).withColumn("loaded_at", F.col("ts"))
+    seen = events.where("event_type <> 'purchase'").withColumn("loaded_at", F.col("ts"))
     bought = events.where("event_type = 'purchase'").withColumn(
         "loaded_at", F.date_trunc("day", "ts").cast("timestamp_ntz")
     )
@@ -222,15 +222,27 @@ def sat_hash_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sat_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = satellite_rows(customers(spark, sf_dir), "_id", "customer_hash_key", CUSTOMER_SOURCE, ntz(FIRST_LOAD))
-    return sequenced_delta(rows, "customer_hash_key")
+    """A customer's orders as versions of its state in one batch, in the order
+    of their numbers; a state that stays the same is no change."""
+    orders = table(spark, sf_dir, "orders").select(
+        text("o_custkey").alias("_id"), F.col("o_orderstatus").alias("state"), "o_orderkey"
+    )
+    rows = satellite_rows(
+        orders,
+        "_id",
+        "customer_hash_key",
+        CUSTOMER_SOURCE,
+        ntz(FIRST_LOAD),
+        described_by=["_id", "state"],
+        carried=["o_orderkey"],
+    )
+    return sequenced_delta(rows, "customer_hash_key", sequence="o_orderkey", rows=size(spark, sf_dir, "orders"))
 
 
 def sat_batch_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = activity_satellite(activity(spark, sf_dir))
     early = F.col("loaded_at") < ntz(EVENT_SPLIT)
-    new = latest_per_key(rows.where(~early), ["user_hash_key"], ["loaded_at"])
-    return batch_delta(new, "user_hash_key", stored=rows.where(early))
+    return batch_delta(rows.where(~early), "user_hash_key", stored=rows.where(early), rows=size(spark, sf_dir))
 
 
 def sat_sequenced(spark: SparkSession, sf_dir: str) -> DataFrame:

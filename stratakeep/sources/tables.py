@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -35,14 +36,16 @@ def read_loads(
     spark: SparkSession,
     path: str,
     schema: T.StructType | None = None,
-    skip_load: str | None = None,
+    skip_load: str | Collection[str] | None = None,
     only_load: str | None = None,
+    keep_load: bool = False,
 ) -> DataFrame | None:
-    """All loads of a table without the ``load_id`` column; None if it has none.
+    """All loads of a table without the ``load_id`` column, unless
+    ``keep_load`` is set; None if it has none.
 
     With ``schema`` no file footer is read up front and columns a load lacks
     are null; without it the schemas of all loads are merged. ``skip_load``
-    leaves out one load and ``only_load`` all others, by partition pruning.
+    (one or more) leaves out loads and ``only_load`` all others, by partition pruning.
     """
     if schema is not None:
         fields = [field for field in schema.fields if field.name != LOAD_ID]
@@ -50,11 +53,12 @@ def read_loads(
     if not _exists(spark, f"{path}/{LOAD_ID}=*"):
         return None
     table = _open(spark, path, schema)
-    if skip_load is not None:
-        table = table.where(F.col(LOAD_ID) != skip_load)
+    skipped = [skip_load] if isinstance(skip_load, str) else list(skip_load or ())
+    if skipped:
+        table = table.where(~F.col(LOAD_ID).isin(*skipped))
     if only_load is not None:
         table = table.where(F.col(LOAD_ID) == only_load)
-    return table.drop(LOAD_ID)
+    return table if keep_load else table.drop(LOAD_ID)
 
 
 def append_load(df: DataFrame, path: str, load_id: str) -> int:
@@ -101,7 +105,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not re.fullmatch(r"local(\[[^]]*\])?", spark.conf.get("spark.master", "")):
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.conf.get("spark.master", "local")):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         shared = tempfile.mkdtemp(prefix="stratakeep-")
     return f"{shared.rstrip('/')}/stratakeep/{name}-{uuid.uuid4().hex}"

@@ -22,15 +22,19 @@ def stream_landing(
 ) -> StreamingQuery:
     """Load files as they arrive under ``path``, then stop when none is left.
 
-    Each micro-batch is one load named after its batch number, so a batch that
-    is replayed after a failure replaces what it wrote before. ``source`` is
-    one of customer, cart, cart_item and product; ``checkpoint`` is the
-    stream's own progress folder.
+    Each micro-batch is one load named after the stream and its batch number,
+    so a batch that is replayed after a failure replaces what it wrote before.
+    The stream's name is the id that Spark keeps in ``checkpoint``, the stream's
+    own progress folder: another folder or checkpoint is another stream, and
+    their loads stand side by side. ``source`` is one of customer, cart,
+    cart_item and product.
     """
     job = LANDING_JOBS[source]
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        job(Warehouse(batch.sparkSession, root, load_id=f"stream-{source}-{batch_id}"), batch, options)
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        load_id = f"stream-{source}-{stream}-{batch_id}"
+        job(Warehouse(batch.sparkSession, root, load_id, owner=f"stream {stream}"), batch, options)
 
     landed = read_landing(spark, path, LANDING_SCHEMAS[source], streaming=True, max_files=max_files)
     return (

@@ -294,3 +294,72 @@ def test_stream_loads_the_same_tables_file_by_file(spark, tmp_path):
     land(tmp_path, "customer", "b", AUGUST)
     run()
     assert counts(vault, *CUSTOMER_TABLES) == dict(zip(CUSTOMER_TABLES, (4, 8, 3, 5, 3)))
+
+
+def product(key, title, minute):
+    return {"_id": key, "title": title, "created_at": ts(0), "updated_at": ts(minute)}
+
+
+def history(spark, root):
+    rows = Warehouse(spark, root).read("sat_product_collection").collect()
+    return sorted(((r["_id"], r["title"], r["loaded_at"]) for r in rows), key=lambda r: (r[0], r[2]))
+
+
+def test_any_load_can_be_repeated(spark, tmp_path):
+    """Loads A, B, A: repeating the first or the second changes nothing."""
+    root = str(tmp_path / "vault")
+    days = [datetime(2024, 2, day, tzinfo=timezone.utc) for day in (1, 2, 3)]
+    paths = [land(tmp_path, "product", f"d{i}", [product("p", title, 1), product("q", "same", 1)]) for i, title in enumerate("ABA")]
+    for i, path in enumerate(paths):
+        pipelines.load_products(Warehouse(spark, root, f"l{i}", days[i]), read(spark, "product", path))
+    before = history(spark, root)
+    assert [title for _, title, _ in before] == ["A", "B", "A", "same"]
+    for i in (0, 1, 0):
+        again = Warehouse(spark, root, f"l{i}")
+        assert again.load_ts == days[i]
+        pipelines.load_products(again, read(spark, "product", paths[i]))
+        assert history(spark, root) == before
+        assert Warehouse(spark, root).read("hub_product").count() == 2
+    assert Warehouse(spark, root, "l1", days[0]).load_ts == days[1]
+
+
+def test_derived_events_of_a_repeated_load_stay_its_own(spark, tmp_path):
+    root = str(tmp_path / "vault")
+    batches = [[item("c", "p", 2, 1)], [item("c", "p", 5, 2)]]
+    for i, docs in enumerate(batches):
+        vault = Warehouse(spark, root, f"l{i}", datetime(2024, 2, i + 1, tzinfo=timezone.utc))
+        pipelines.load_cart_items(vault, read(spark, "cart_item", land(tmp_path, "cart_item", f"l{i}", docs)))
+        pipelines.derive_carts(vault)
+    events = lambda: sorted(map(str, Warehouse(spark, root).read("sat_cart_adds_and_drops").collect()))
+    before = events()
+    assert len(before) == 2
+    pipelines.derive_carts(Warehouse(spark, root, "l0"))
+    assert events() == before
+
+
+def test_streams_do_not_replace_each_other(spark, tmp_path):
+    root = str(tmp_path / "vault")
+    for name, keys in (("a", "abc"), ("b", "xy")):
+        land(tmp_path / name, "product", "f", [product(key, "t", 1) for key in keys])
+    for name, progress in (("a", "a"), ("b", "b"), ("a", "again")):
+        folder, checkpoint = str(tmp_path / name / "landing" / "product"), str(tmp_path / f"progress-{progress}")
+        query = stream_landing(spark, "product", folder, root, checkpoint)
+        assert query.awaitTermination(120) and query.exception() is None
+        if name == "a":
+            assert {r["_id"] for r in Warehouse(spark, root).read("sat_product_collection").collect()} >= set("abc")
+    assert [key for key, _, _ in history(spark, root)] == list("abcxy")
+
+
+def test_a_load_of_another_owner_is_refused(spark, tmp_path):
+    path, root = land(tmp_path, "product", "a", [product("p", "A", 1)]), str(tmp_path / "vault")
+    pipelines.load_products(Warehouse(spark, root, "x", owner="stream 1"), read(spark, "product", path))
+    with pytest.raises(ValueError, match="stream 1"):
+        Warehouse(spark, root, "x", owner="stream 2")
+
+
+def test_late_events_are_refused_where_they_cannot_be_placed(spark, tmp_path):
+    path, root = land(tmp_path, "cart_item", "a", [item("c", "p", 2, 1)]), str(tmp_path / "vault")
+    with pytest.raises(ValueError, match="late"):
+        run_job(spark, "cart_item", root, path, "one", late=True)
+    with pytest.raises(ValueError, match="late"):
+        run_job(spark, "derive_carts", root, load_id="one", late=True)
