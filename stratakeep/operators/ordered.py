@@ -4,14 +4,15 @@ A window partitioned by key puts the whole history of a key into one task.
 That is the right plan until one key holds a large share of the table. These
 operators then cut the history of such keys into ordered pieces:
 
-1. ``find_cuts`` looks at a bounded sample for keys with more rows than one
-   task should hold and picks cut points in their order columns. The sample
-   decides only where to cut; every row takes part in the result.
+1. ``find_cuts`` looks at a sample for keys with more rows than one task
+   should hold and picks cut points in their order columns, one for about
+   every ``max_rows`` rows whatever the size of the table. The sample decides only
+   where to cut; every row takes part in the result.
 2. The window runs per (key, piece). Keys of normal size have no pieces, so
    their plan is unchanged.
 3. What crosses a cut (the last value of a piece, the first of the next, the
    maximum so far) is one row per piece, combined before any shuffle, and is
-   joined back by broadcast. The number of pieces is bounded by ``find_cuts``.
+   joined back: by broadcast up to ``BROADCAST_PIECES`` pieces, else by shuffle.
 """
 
 from __future__ import annotations
@@ -22,12 +23,13 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from stratakeep.sources.tables import stage
 
 # Rows of one key that a single task sorts without trouble.
 MAX_ROWS_PER_TASK = 1_000_000
-# Upper bound on pieces over all keys when the session has fewer partitions.
-MIN_PIECES = 2_000
+# Most cut points and carried rows that are broadcast.
+BROADCAST_PIECES = 1_000_000
 # Sampled rows wanted per piece, so that piece sizes are near the target.
 SAMPLES_PER_PIECE = 100
 # Into how many groups rows are spread that need no partner in a join.
@@ -55,6 +57,7 @@ class Cuts:
     heads: DataFrame | None = None
     blocks: DataFrame | None = None
     width: int = 0
+    pieces: int = 0
     copies: bool = False
 
     @property
@@ -66,6 +69,11 @@ class Cuts:
         """Columns that bound one task's share of rows."""
         return [*self.keys, _PIECE] if self.cut else list(self.keys)
 
+    def small(self, table: DataFrame) -> DataFrame:
+        """A table of about one row per piece, marked for broadcast if its
+        size allows that; adaptive execution then splits what is skewed."""
+        return F.broadcast(table) if self.pieces <= BROADCAST_PIECES else table
+
     def at(self) -> Column:
         return F.struct(*[F.col(name) for name in self.cut_on])
 
@@ -91,11 +99,10 @@ def find_cuts(
     part them.
 
     A table of at most ``max_rows`` rows needs no second look. Otherwise a
-    sample of about ``SAMPLES_PER_PIECE`` rows per piece is taken; the number
-    of pieces is at most the larger of ``MIN_PIECES`` and the number of
-    shuffle partitions, which bounds the sample, the rows brought to the
-    driver and the broadcast. The cut points are kept as literal rows because
-    both passes over the data must see the same ones.
+    sample of about ``SAMPLES_PER_PIECE`` rows per ``max_rows`` is taken, and
+    every hundredth or so of a key's sampled rows, in order, is a cut point. The points are
+    written to the shared folder, since all passes over the data must see the
+    same ones; the driver gets only their number.
     """
     max_rows = max_rows or MAX_ROWS_PER_TASK
     rows = df.count() if rows is None else rows
@@ -103,46 +110,30 @@ def find_cuts(
     if rows <= max_rows:
         return plain
 
-    spark = df.sparkSession
-    most_pieces = max(MIN_PIECES, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    target = max(max_rows, -(-rows // most_pieces))
-    fraction = min(1.0, SAMPLES_PER_PIECE / target)
-    step = max(1, int(target * fraction))
+    fraction = min(1.0, SAMPLES_PER_PIECE / max_rows)
+    step = max(1, int(max_rows * fraction))
     in_key = Window.partitionBy(*keys).orderBy(_AT)
-    picked = (
+    picked = stage(
         df.select(*keys, plain.at().alias(_AT))
         .sample(fraction=fraction, seed=20)
         .withColumn("_n", F.row_number().over(in_key))
         .where(F.col("_n") % step == 0)
-        .drop("_n")
+        .drop("_n"),
+        "cut-points",
     )
-    by_key: dict[tuple, list] = {}
-    for row in picked.sort(*keys, _AT).collect():
-        by_key.setdefault(tuple(row[k] for k in keys), []).append(row[_AT])
-    if not by_key:
+    per_key = picked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_points"), F.count_distinct(_AT).alias("_distinct"))
+    found = per_key.agg(
+        F.sum("_points").alias("all"), F.max("_points").alias("most"), F.max(F.col("_points") > F.col("_distinct")).alias("copies")
+    ).first()
+    if not found["all"]:
         return plain
-
-    distinct = {key: list(dict.fromkeys(points)) for key, points in by_key.items()}
-    copies = any(len(distinct[key]) < len(points) for key, points in by_key.items())
-    width = math.isqrt(max(len(points) for points in distinct.values())) + 1
-    fields = {field.name: field for field in picked.schema.fields}
-    of_key = [fields[k] for k in keys]
-    points_field = T.StructField(_POINTS, T.ArrayType(fields[_AT].dataType))
-    heads = [(*key, points[width::width]) for key, points in distinct.items()]
-    blocks = [
-        (*key, start // width, points[start : start + width])
-        for key, points in distinct.items()
-        for start in range(0, len(points), width)
-    ]
-    return replace(
-        plain,
-        heads=spark.createDataFrame(heads, T.StructType([*of_key, points_field])),
-        blocks=spark.createDataFrame(
-            blocks, T.StructType([*of_key, T.StructField(_BLOCK, T.IntegerType()), points_field])
-        ),
-        width=width,
-        copies=copies,
-    )
+    width = math.isqrt(found["most"]) + 1
+    placed = picked.distinct().withColumn(_BLOCK, F.floor((F.row_number().over(in_key) - 1) / width).cast("int"))
+    blocks = placed.groupBy(*keys, _BLOCK).agg(F.array_sort(F.collect_list(_AT)).alias(_POINTS))
+    blocks = stage(blocks, "cut-blocks")
+    firsts = F.array_sort(F.collect_list(F.when(F.col(_BLOCK) > 0, F.col(_POINTS)[0])))
+    heads = stage(blocks.groupBy(*keys).agg(firsts.alias(_POINTS)), "cut-heads")
+    return replace(plain, heads=heads, blocks=blocks, width=width, pieces=found["all"], copies=found["copies"])
 
 
 def _points_passed(most: int) -> Column:
@@ -169,10 +160,10 @@ def with_piece(df: DataFrame, cuts: Cuts) -> DataFrame:
     passed = F.when(F.col(_POINTS).isNotNull(), _points_passed(cuts.width))
     return (
         df.withColumn(_AT, cuts.at())
-        .join(F.broadcast(cuts.heads), keys, "left")
+        .join(cuts.small(cuts.heads), keys, "left")
         .withColumn(_BLOCK, passed)
         .drop(_POINTS)
-        .join(F.broadcast(cuts.blocks), [*keys, _BLOCK], "left")
+        .join(cuts.small(cuts.blocks), [*keys, _BLOCK], "left")
         .withColumn(_PIECE, F.col(_BLOCK) * cuts.width + passed)
         .drop(_POINTS, _BLOCK, _AT)
     )
@@ -184,7 +175,7 @@ def _pieces(parts: DataFrame, cuts: Cuts, summary: Column) -> DataFrame:
 
 
 def _join_carry(parts: DataFrame, carry: DataFrame, cuts: Cuts) -> DataFrame:
-    return parts.join(F.broadcast(carry), cuts.group, "left")
+    return parts.join(cuts.small(carry), cuts.group, "left")
 
 
 def _neighbour(df: DataFrame, cuts: Cuts, values: Mapping[str, str], forward: bool) -> DataFrame:
@@ -266,15 +257,15 @@ def join_one_per_key(left: DataFrame, right: DataFrame, cuts: Cuts, how: str) ->
     value = F.struct(*[F.col(name) for name in added], F.lit(True).alias("_hit"))
     rows = right.select(*keys, value.alias("_found"), F.lit(0).alias("_spread"))
     oversized = cuts.heads.select(*keys, F.lit(True).alias("_oversized"))
-    present = rows.join(F.broadcast(oversized), keys, "left_semi").select(*keys, F.col("_found").alias("_few"))
-    few = oversized.join(F.broadcast(present), keys, "left")
+    present = rows.join(cuts.small(oversized), keys, "left_semi").select(*keys, F.col("_found").alias("_few"))
+    few = oversized.join(cuts.small(present), keys, "left")
     settled = F.col("_oversized").isNotNull()
     for key in keys:
         settled = settled | F.col(key).isNull()
     anywhere = F.pmod(F.hash(*left.columns), F.lit(SPREAD)) + 1
     found = F.coalesce("_few", "_found")
     joined = (
-        left.join(F.broadcast(few), keys, "left")
+        left.join(cuts.small(few), keys, "left")
         .withColumn("_spread", F.when(settled, anywhere).otherwise(0))
         .join(rows, [*keys, "_spread"], "left")
     )

@@ -85,6 +85,40 @@ def test_pieces_of_an_oversized_key_are_near_the_target(spark):
     assert cuts.heads.count() == 1
 
 
+def test_the_number_of_pieces_has_no_cap(spark):
+    """Many times more pieces than shuffle partitions, all near the target."""
+    from stratakeep.operators.ordered import with_piece
+
+    df = spark.range(300_000).selectExpr("case when id % 3 = 0 then 'hot' else cast(id as string) end as k", "id as at")
+    cuts = find_cuts(df, ["k"], ["at"], max_rows=30)
+    assert cuts.pieces > 2_500 > 10 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sizes = [r["count"] for r in with_piece(df, cuts).groupBy(*cuts.group).count().collect()]
+    assert sum(sizes) == 300_000 and max(sizes) <= 60
+
+
+def test_rows_that_share_time_and_sequence_are_parted_by_digest(spark):
+    from stratakeep.operators.ordered import with_piece
+
+    df = spark.range(4000).selectExpr("'k' as k", "cast(null as long) as seq", "md5(cast(id as string)) as digest")
+    cuts = find_cuts(df, ["k"], ["seq", "digest"], max_rows=200)
+    sizes = [r["count"] for r in with_piece(df, cuts).groupBy(*cuts.group).count().collect()]
+    assert len(sizes) >= 18 and max(sizes) < 400
+
+
+@pytest.mark.parametrize("broadcast", [0, 1_000_000])
+def test_a_key_twice_on_the_right_is_one_match(spark, monkeypatch, broadcast):
+    from stratakeep.operators import ordered
+
+    monkeypatch.setattr(ordered, "BROADCAST_PIECES", broadcast)
+    df = spark.createDataFrame(make_rows(4), SCHEMA)
+    right = spark.createDataFrame([("hot",), ("hot",), ("a",), ("a",)], "k string")
+    cuts = find_cuts(df, ["k"], ["at", "seq"], max_rows=40)
+    assert cuts.cut
+    want = df.join(right, "k", "left_semi")
+    assert join_one_per_key(df, right, cuts, "left_semi").select(*want.columns).exceptAll(want).count() == 0
+    assert join_one_per_key(df, right, cuts, "left_semi").count() == want.count()
+
+
 def test_copies_are_reported(spark):
     df = spark.range(4000).selectExpr("'k' as k", "case when id < 3000 then 7 else id end as at")
     assert find_cuts(df, ["k"], ["at"], max_rows=200).copies
