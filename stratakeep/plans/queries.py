@@ -249,7 +249,7 @@ def sat_sequenced(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = activity_satellite(activity(spark, sf_dir))
     early = F.col("loaded_at") < ntz(EVENT_SPLIT)
     n = size(spark, sf_dir)
-    stored = sequenced_delta(rows.where(early), "user_hash_key", rows=n)
+    stored = stage(sequenced_delta(rows.where(early), "user_hash_key", rows=n), "stored")
     return stored.unionByName(sequenced_delta(rows.where(~early), "user_hash_key", stored=stored, rows=n))
 
 
@@ -263,7 +263,7 @@ def _adds_and_drops_satellite(lines: DataFrame, loaded_at: Column, rows: int) ->
 def sat_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, n = cart_lines(spark, sf_dir), size(spark, sf_dir)
     first = _adds_and_drops_satellite(lines.where(F.col("added_at_ts") < ntz(EVENT_SPLIT)), ntz(FIRST_LOAD), n)
-    stored = event_delta(first, "cart_product_hash_key")
+    stored = stage(event_delta(first, "cart_product_hash_key"), "stored")
     again = _adds_and_drops_satellite(lines, ntz(SECOND_LOAD), n)
     return stored.unionByName(event_delta(again, "cart_product_hash_key", stored))
 
@@ -367,7 +367,8 @@ def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows, "_id", "product_hash_key", PRODUCT_SOURCE, F.col("updated_at_ts"), described, carried
     )
     n = size(spark, sf_dir)
-    return marts.dim_product(hub, sequenced_delta(sat, "product_hash_key", rows=n), rows=n)
+    history = stage(sequenced_delta(sat, "product_hash_key", rows=n), "history")
+    return marts.dim_product(hub, history, rows=n)
 
 
 def dim_customer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -394,9 +395,8 @@ def dim_customer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(text("user_id"), F.lit("@"), text("event_id")).alias("primary_email"),
     )
     n = size(spark, sf_dir)
-    pit = pit_rows(
-        {"sat_customer_collection": collection, "sat_customer_primary_email": email}, "customer_hash_key", rows=n
-    )
+    frames = {"sat_customer_collection": collection, "sat_customer_primary_email": email}
+    pit = stage(pit_rows(frames, "customer_hash_key", rows=n), "pit")
     hub = hub_rows(
         customers(spark, sf_dir),
         "_id",

@@ -54,6 +54,15 @@ def test_no_python_rows_and_no_cross_joins(spark, shuffled_joins, name):
         assert bad not in plan
 
 
+@pytest.mark.parametrize("name", ["sat_event", "sat_sequenced", "dim_product", "dim_customer_history"])
+def test_a_first_step_is_computed_once(spark, name):
+    """What several later steps read was written before: the plan scans each
+    given table at most once per use of its own columns."""
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
+    scans = len(re.findall(r"FileScan parquet", plan))
+    assert "stratakeep" in plan and scans <= {"sat_event": 3, "sat_sequenced": 3, "dim_product": 2, "dim_customer_history": 4}[name]
+
+
 def test_filters_and_columns_reach_the_scan(spark, capsys):
     QUERIES["hub_incremental"](spark, SF_DIR).explain("formatted")
     plan = capsys.readouterr().out
