@@ -35,12 +35,15 @@ MODULUS, HELD_OUT = 5, 1
 ROUNDS = 1
 # Added to the expected count of every piece.
 SMOOTHING = 0.1
-FREQUENT = 50_000
+FREQUENT = 250_000
 # Frequent words longer than this many bytes are joined like all others.
 FREQUENT_BYTES = 64
 # Distinct words counted in memory before they are passed on.
 HELD_WORDS = 300_000
 CACHED_WORDS = 300_000
+# Up to this length the product of a word's probabilities stays in the range of
+# a double, so that expectations need no logarithms.
+PLAIN_LENGTH = 32
 # The sign that begins a word in the vocabulary (fixed value).
 BEGIN = "▁"
 _LN10 = math.log(10)
@@ -82,6 +85,7 @@ class Lattice:
     def __init__(self, pieces: Pieces, weights: np.ndarray) -> None:
         self._pieces = pieces
         self._weights = weights.tolist()
+        self._chances = np.exp(weights).tolist()
         lengths: dict[str, set[int]] = {}
         for name in pieces.ids:
             lengths.setdefault(name[-2:], set()).add(len(name))
@@ -122,11 +126,14 @@ class Lattice:
             values.append(value)
         return values[-1]
 
-    def add_expected(self, word: str, times: float, totals: np.ndarray) -> None:
+    def add_expected(self, word: str, times: float, totals: list[float]) -> None:
         """Add the expected number of each piece in a word seen ``times``."""
         whole = BEGIN + word
         size = len(whole)
         arcs = [list(self._ending(whole, end)) for end in range(1, size + 1)]
+        if size <= PLAIN_LENGTH and all(len(found) == 1 for ending in arcs for *_, found in ending):
+            self._add_plain(arcs, times, totals)
+            return
         forward, backward = [0.0] * (size + 1), [-math.inf] * (size + 1)
         for end, ending in enumerate(arcs, 1):
             forward[end] = _log_sum([forward[start] + weight for start, weight, _ in ending])
@@ -139,6 +146,23 @@ class Lattice:
                     totals[piece] += share
                 backward[start] = _log_sum([backward[start], through])
 
+    def _add_plain(self, arcs: list[list[tuple[int, float, tuple[int, ...]]]], times: float, totals: list[float]) -> None:
+        chances = self._chances
+        forward = [1.0]
+        for ending in arcs:
+            value = 0.0
+            for start, _, found in ending:
+                value += forward[start] * chances[found[0]]
+            forward.append(value)
+        backward = [0.0] * len(forward)
+        backward[-1] = times / forward[-1]
+        for end in range(len(arcs), 0, -1):
+            behind = backward[end]
+            for start, _, found in arcs[end - 1]:
+                through = chances[found[0]] * behind
+                totals[found[0]] += forward[start] * through
+                backward[start] += through
+
 
 def _log_sum(values: list[float]) -> float:
     if len(values) == 1:
@@ -151,8 +175,9 @@ def _log_sum(values: list[float]) -> float:
 
 @dataclass(frozen=True)
 class Model:
-    """``vocabulary`` (``word, n``) of the training words, the sums over it,
-    and piece log probabilities with that of the end of a text."""
+    """``vocabulary`` (``word, n, score``) of the training words, each with its
+    log10 probability, the sums over it, and piece log probabilities with that
+    of the end of a text."""
 
     path: str
     vocabulary: DataFrame
@@ -194,6 +219,7 @@ def _piece_counts(vocabulary: DataFrame, path: str, weights: np.ndarray | None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(pieces_of(path).size)
+        expected = [0.0] * len(totals)
         lattice = None if weights is None else Lattice(pieces_of(path), weights)
         for part in slices(batches, 4096):
             words, times = part.column(0).to_pylist(), part.column(1).to_pylist()
@@ -204,7 +230,8 @@ def _piece_counts(vocabulary: DataFrame, path: str, weights: np.ndarray | None)
                 totals += np.bincount(flat, weights=np.repeat(times, counts), minlength=len(totals))
             else:
                 for word, n in zip(words, times, strict=True):
-                    lattice.add_expected(word, n, totals)
+                    lattice.add_expected(word, n, expected)
+        totals += expected
         used = np.nonzero(totals)[0]
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(totals[used])], ["piece", "n"])
 
@@ -233,43 +260,43 @@ def train(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
     weights, end = probabilities(_piece_counts(vocabulary, path, None))
     for _ in range(rounds):
         weights, end = probabilities(_piece_counts(vocabulary, path, weights))
+
+    def with_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice = Lattice(pieces_of(path), weights)
+        for part in slices(batches, 4096):
+            found = [lattice.log_probability(word) / _LN10 for word in part.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.float64())], ["word", "n", "score"])
+
+    vocabulary = stage(vocabulary.mapInArrow(with_scores, "word string, n long, score double"), "scored-vocabulary")
     return Model(path, vocabulary, train_docs, sums["tokens"] + train_docs, sums["words"] + (train_docs > 0), weights, end)
 
 
 def _passes_over(docs: DataFrame, model: Model, doc_id: str, text: str) -> DataFrame:
-    """One row per document: what needs no join, and its other words."""
+    """One row per document: what frequent words give, and its other words."""
     smooth = math.log10(model.train_tokens + 0.5 * (model.distinct + 1))
     least = model.train_tokens / FREQUENT
     frequent = model.vocabulary.where((F.col("n") >= least) & (F.octet_length("word") <= FREQUENT_BYTES))
-    known = {row["word"].encode(): math.log10(row["n"] + 0.5) - smooth for row in frequent.collect()}
-    weights, path, end = model.weights, model.path, model.end / _LN10
+    known = {row["word"].encode(): (math.log10(row["n"] + 0.5) - smooth, row["score"]) for row in frequent.collect()}
+    end = model.end / _LN10
     end_base = math.log10(model.train_docs + 0.5) - smooth
     end_known = int(model.train_docs > 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(pieces_of(path), weights)
-        scores: dict[bytes, float] = {}
         number = TaskContext.get().partitionId() << 40
         for part in slices(batches):
-            if len(scores) > CACHED_WORDS:
-                scores.clear()
             rows = {name: [] for name in ("n_tokens", "known", "base", "score")}
             others, times, ends = [], [], [0]
             for content in part.column(1).to_pylist():
                 counts = Counter(words_of(content))
                 base, score, seen = end_base, end, end_known
                 for word, n in counts.items():
-                    value = scores.get(word)
-                    if value is None:
-                        value = lattice.log_probability(word.decode()) / _LN10
-                        scores[word] = value
-                    score += n * value
-                    plain = known.get(word)
-                    if plain is None:
+                    found = known.get(word)
+                    if found is None:
                         others.append(word)
                         times.append(n)
                     else:
-                        base += n * plain
+                        base += n * found[0]
+                        score += n * found[1]
                         seen += n
                 for name, value in zip(rows, (counts.total() + 1, seen, base, score), strict=True):
                     rows[name].append(value)
@@ -298,6 +325,33 @@ def _passes_over(docs: DataFrame, model: Model, doc_id: str, text: str) -> DataF
     return stage(source.mapInArrow(run, schema), "scored-documents")
 
 
+def _completed(found: DataFrame, model: Model) -> DataFrame:
+    """``row, times, n, score`` with the scores of words that training lacks.
+
+    The join has brought equal words to one task, so each is scored once.
+    """
+    path, weights = model.path, model.weights
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice = Lattice(pieces_of(path), weights)
+        scores: dict[str, float] = {}
+        for part in batches:
+            values = part.column(3).to_numpy(zero_copy_only=False).copy()
+            new = np.nonzero(part.column(3).is_null().to_numpy(zero_copy_only=False))[0]
+            if len(scores) > CACHED_WORDS:
+                scores.clear()
+            words = part.column(4).take(pa.array(new)).to_pylist()
+            for at, word in zip(new, words, strict=True):
+                if word not in scores:
+                    scores[word] = lattice.log_probability(word) / _LN10
+                values[at] = scores[word]
+            columns = [part.column(i) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(values)], ["row", "times", "n", "score"])
+
+    missing = F.when(F.col("score").isNull(), F.col("word")).alias("word")
+    return found.select("row", "times", "n", "score", missing).mapInArrow(run, "row long, times long, n long, score double")
+
+
 def scored(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Scores of every row of ``docs`` under the word and the lattice model.
 
@@ -309,11 +363,12 @@ def scored(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
     """
     rows = _passes_over(docs, model, doc_id, text)
     words = rows.select("row", F.explode("others").alias("one")).select("row", "one.word", "one.times")
-    found = words.join(model.vocabulary, "word", "left")
+    found = _completed(words.join(model.vocabulary, "word", "left"), model)
     total = F.lit(model.train_tokens + 0.5 * (model.distinct + 1))
     summed = found.groupBy("row").agg(
         F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 0.5) / total)).alias("more_base"),
         F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more_known"),
+        F.sum(F.col("times") * F.col("score")).alias("more_score"),
     )
     return rows.join(summed, "row", "left").select(
         doc_id,
@@ -322,5 +377,5 @@ def scored(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
         (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(model.train_tokens).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
     )
