@@ -13,6 +13,8 @@ gives its best rows only.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -37,51 +39,53 @@ def usable(vector: str) -> Column:
     return parts.isNotNull() & ~odd & F.exists(parts, lambda x: x != 0)
 
 
-def cosines(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Cosine of each row with the query; equal rows get equal values."""
-    dot = (rows * query).sum(axis=1)
-    return dot / (np.sqrt((rows * rows).sum(axis=1)) * np.sqrt((query * query).sum()))
-
-
 class Index:
-    """Sorted projections of a block of vectors."""
+    """Sorted projections of a block of vectors.
+
+    Each row is kept as its rank on every line, so whether it lies in a window
+    is one comparison of its rank with the window's ends in the sorted array.
+    """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         self.ids, self.vectors = ids, vectors
+        self._norms = np.sqrt((vectors * vectors).sum(axis=1))
         self._lines = np.random.default_rng(SEED).standard_normal((vectors.shape[1], LINES))
-        projected = self._project(vectors)
-        self._order = np.argsort(projected, axis=0, kind="stable").T.copy()
-        self._values = np.sort(projected, axis=0).T.copy()
-
-    def _project(self, vectors: np.ndarray) -> np.ndarray:
-        return (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)) @ self._lines
-
-    def nearest(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and cosines of the best ``k`` rows found, best first."""
-        at = self._project(query[None, :])[0]
-        hits = np.zeros(len(self.ids), dtype=np.int32)
-        low = np.array([np.searchsorted(v, x) for v, x in zip(self._values, at, strict=True)])
-        high = low.copy()
-        verified = self.ids == query_id
-        wanted = min(k + VERIFIED * len(self.ids), len(self.ids) - verified.sum())
-        found: list[np.ndarray] = []
-        count = 0
-        for width in WIDTHS:
-            for line, (values, order) in enumerate(zip(self._values, self._order, strict=True)):
-                first, last = np.searchsorted(values, at[line] - width), np.searchsorted(values, at[line] + width, side="right")
-                hits[order[first : low[line]]] += 1
-                hits[order[high[line] : last]] += 1
-                low[line], high[line] = min(first, low[line]), max(last, high[line])
-            fresh = np.nonzero((hits >= THRESHOLD * LINES) & ~verified)[0]
-            verified[fresh] = True
-            found.append(fresh)
-            count += len(fresh)
-            if count >= wanted:
-                break
-        rows = np.concatenate(found)
-        scores = cosines(self.vectors[rows], query)
-        best = np.lexsort((self.ids[rows], -scores))[:k]
-        return self.ids[rows[best]], scores[best]
+        projected = (vectors / self._norms[:, None]) @ self._lines
+        order = np.argsort(projected, axis=0, kind="stable")
+        self._values = np.take_along_axis(projected, order, axis=0).T.copy()
+        kind = np.uint16 if len(ids) < 1 << 16 else np.uint32
+        self._ranks = np.empty((LINES, len(ids)), dtype=kind)
+        np.put_along_axis(self._ranks, order.T, np.arange(len(ids), dtype=kind)[None, :], axis=1)
+
+    def _windows(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First rank and number of ranks per query, width and line."""
+        at = (queries / np.linalg.norm(queries, axis=1, keepdims=True)) @ self._lines
+        widths = np.array(WIDTHS)
+        first = np.stack([np.searchsorted(v, x[:, None] - widths) for v, x in zip(self._values, at.T, strict=True)], axis=2)
+        last = np.stack(
+            [np.searchsorted(v, x[:, None] + widths, side="right") for v, x in zip(self._values, at.T, strict=True)], axis=2
+        )
+        return first.astype(self._ranks.dtype), (last - first).astype(self._ranks.dtype)
+
+    def nearest(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Per query the ids and cosines of the best ``k`` rows, best first."""
+        firsts, spans = self._windows(queries)
+        least = int(np.ceil(THRESHOLD * LINES))
+        for query_id, query, first, span in zip(query_ids, queries, firsts, spans, strict=True):
+            own = self.ids == query_id
+            wanted = min(k + VERIFIED * len(self.ids), len(self.ids) - own.sum())
+            verified = np.nonzero(own)[0][:0]
+            for width in range(len(WIDTHS)):
+                # Ranks below the window wrap around and count as far above it.
+                inside = (self._ranks - first[width][:, None]) < span[width][:, None]
+                hits = inside.view(np.uint8).sum(axis=0, dtype=np.uint8)
+                verified = np.nonzero((hits >= least) & ~own)[0]
+                if len(verified) >= wanted:
+                    break
+            dots = (self.vectors[verified] * query).sum(axis=1)
+            scores = dots / (self._norms[verified] * np.sqrt((query * query).sum()))
+            best = np.lexsort((self.ids[verified], -scores))[:k]
+            yield self.ids[verified[best]], scores[best]
 
 
 def _matrix(table: pa.Table, dimension: int) -> tuple[np.ndarray, np.ndarray]:
@@ -128,14 +132,14 @@ def search(vectors: DataFrame, queries: Column, k: int, vec_id: str = "vec_id",
         dimension = names[0].as_py()
         out: dict[str, list[np.ndarray]] = {"query_id": [], "vec_id": [], "score": []}
         if left.num_rows and right.num_rows:
-            index = Index(*_matrix(left, dimension))
-            for query_id, query in zip(*_matrix(right, dimension), strict=True):
-                ids, scores = index.nearest(query_id, query, k)
+            query_ids, queries = _matrix(right, dimension)
+            found = Index(*_matrix(left, dimension)).nearest(query_ids, queries, k)
+            for query_id, (ids, scores) in zip(query_ids, found, strict=True):
                 for name, values in zip(out, (np.full(len(ids), query_id), ids, scores), strict=True):
                     out[name].append(values)
-        kinds = {"query_id": np.int64, "vec_id": np.int64, "score": float}
-        return pa.table({name: np.concatenate([*parts, np.zeros(0)]).astype(kinds[name]) if name == "score" else np.concatenate([*parts, np.zeros(0, dtype=np.int64)]) for name, parts in out.items()})
+        kinds = {"query_id": np.int64, "vec_id": np.int64, "score": np.float64}
+        return pa.table({name: np.concatenate([np.zeros(0, dtype=kinds[name]), *parts]) for name, parts in out.items()})
 
-    found = rows.groupBy(*key).cogroup(asked.groupBy(*key)).applyInArrow(meet, "query_id long, vec_id long, score double")
+    best_found = rows.groupBy(*key).cogroup(asked.groupBy(*key)).applyInArrow(meet, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return best_found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
