@@ -38,14 +38,17 @@ def map_texts(
     added = T.StructType.fromDDL(fields)
     new = added.names
     kept = [name for name in carried if name not in new]
-    source = df.select(*kept, F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    schema = T.StructType([*source.schema.fields[:-1], *added.fields])
+    # A text that is carried anyway is not sent twice.
+    extra = [] if text in kept else [F.col(text).alias("_text")]
+    source = df.select(*kept, *extra)
+    at = kept.index(text) if text in kept else len(kept)
+    schema = T.StructType([*source.schema.fields[: len(kept)], *added.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = start()
         for part in slices(batches):
             columns = [part.column(i) for i in range(len(kept))]
-            made = make(part.column(len(kept)).to_pylist())
+            made = make([x or "" for x in part.column(at).to_pylist()])
             yield pa.RecordBatch.from_arrays([*columns, *made], names=[*kept, *new])
 
     return source.mapInArrow(run, schema)

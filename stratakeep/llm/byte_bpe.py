@@ -17,11 +17,13 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-from stratakeep.llm.batches import map_texts, slices
-from stratakeep.llm.units import UnitCache, cut
+from stratakeep.llm.batches import SLICE_ROWS, map_texts
+from stratakeep.llm.units import CACHE_UNITS, UnitCache, cut
+
+FIELDS = "ids array<int>, starts array<int>, ends array<int>, round_trip boolean"
 
 
 @cache
@@ -78,9 +80,18 @@ def _lists(parts: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(parts), dtype="<i4")))
 
 
+def _table(ranks: dict[bytes, int]) -> np.ndarray:
+    """The bytes of each id."""
+    table = np.empty(max(ranks.values()) + 1, dtype=object)
+    for token, rank in ranks.items():
+        table[rank] = token
+    return table
+
+
 def encode(docs: DataFrame, path: str, pattern: str, carried: list[str], text: str = "text") -> DataFrame:
-    """``carried`` columns with ``ids, starts, ends`` of the whole text.
+    """``carried`` columns with ``ids, starts, ends, round_trip`` of the whole text.
 
+    ``round_trip`` tells that the bytes of the ids, joined, are those of the text.
     ``starts`` and ``ends`` are offsets in characters, end exclusive; tokens
     that share a character have overlapping offsets. A null or empty text has
     empty lists. Special strings are ordinary text.
@@ -107,16 +118,22 @@ def encode(docs: DataFrame, path: str, pattern: str, carried: list[str], text: s
             firsts = np.concatenate([[0], byte_ends[:-1]])
             return place[firsts].astype("<i4").tobytes(), (place[byte_ends - 1] + 1).astype("<i4").tobytes()
 
-        kept = UnitCache(missing)
+        kept = UnitCache(missing, CACHE_UNITS // 2)
+
+        table = _table(ranks)
+
+        def same(text: str, ids: bytes) -> bool:
+            return b"".join(table[np.frombuffer(ids, dtype="<i4")]) == text.encode()
 
         def make(texts: list[str]) -> list[pa.Array]:
             ids = [b"".join(found) for found in kept.values([cut(x) for x in texts])]
             places = [offsets(*x) for x in zip(texts, ids, strict=True)]
-            return [_lists(ids), _lists([first for first, _ in places]), _lists([last for _, last in places])]
+            checked = pa.array([same(*x) for x in zip(texts, ids, strict=True)], pa.bool_())
+            return [_lists(ids), _lists([first for first, _ in places]), _lists([last for _, last in places]), checked]
 
         return make
 
-    return map_texts(docs, carried, text, "ids array<int>, starts array<int>, ends array<int>", start)
+    return map_texts(docs, carried, text, FIELDS, start)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
@@ -126,21 +143,17 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     gives the text. A null list gives no bytes; an id that the vocabulary does not have
     raises.
     """
-    others = [name for name in encoded.columns if name != "decoded"]
-    source = encoded.select(*others)
-    at = others.index(ids)
 
-    def run(batches):
-        ranks = read_ranks(path)
-        table = np.empty(max(ranks.values()) + 1, dtype=object)
-        for token, rank in ranks.items():
-            table[rank] = token
-        for part in slices(batches):
-            column = part.column(at)
-            values = table[column.flatten().to_numpy()]
-            lengths = column.value_lengths().fill_null(0).to_numpy()
+    @F.arrow_udf("binary")
+    def joined(lists: pa.Array) -> pa.Array:
+        table = _table(read_ranks(path))
+        out = []
+        for start in range(0, len(lists), SLICE_ROWS):
+            part = lists.slice(start, SLICE_ROWS)
+            values = table[part.flatten().to_numpy()]
+            lengths = part.value_lengths().fill_null(0).to_numpy()
             ends = np.cumsum(lengths)
-            joined = [b"".join(values[end - n : end]) for n, end in zip(lengths, ends, strict=True)]
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(joined, pa.binary())], names=[*others, "decoded"])
+            out.append(pa.array([b"".join(values[end - n : end]) for n, end in zip(lengths, ends, strict=True)], pa.binary()))
+        return pa.concat_arrays(out) if out else pa.array([], pa.binary())
 
-    return source.mapInArrow(run, T.StructType([*source.schema.fields, T.StructField("decoded", T.BinaryType())]))
+    return encoded.withColumn("decoded", joined(ids))

@@ -93,5 +93,7 @@ def scored(docs: DataFrame, model: Trees, carried: list[str], text: str = "text"
 
 def keep_good(docs: DataFrame, model: Trees, text: str = "text") -> DataFrame:
     """The documents that the classifier accepts, with the columns of ``docs``."""
-    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("_text"))
-    return scored(rows, model, ["row"], "_text").where(F.col("score") >= THRESHOLD).select("row.*")
+    # Numbered names cannot clash with that of the score.
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    found = scored(docs.toDF(*names), model, names, names[docs.columns.index(text)])
+    return found.where(F.col("score") >= THRESHOLD).select(*names).toDF(*docs.columns)

@@ -27,14 +27,14 @@ def cut(text: str) -> list[str]:
 class UnitCache[V]:
     """Values per unit; ``missing`` makes those of new units in one call."""
 
-    def __init__(self, missing) -> None:
-        self._missing = missing
+    def __init__(self, missing, size: int = CACHE_UNITS) -> None:
+        self._missing, self._size = missing, size
         # First units, which have no space in front, and all others.
         self._firsts: dict[str, V] = {}
         self._others: dict[str, V] = {}
 
     def values(self, texts: list[list[str]]) -> list[list[V]]:
-        if len(self._firsts) + len(self._others) > CACHE_UNITS:
+        if len(self._firsts) + len(self._others) > self._size:
             self._firsts.clear()
             self._others.clear()
         firsts, others = self._firsts, self._others
