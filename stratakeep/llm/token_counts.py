@@ -16,6 +16,7 @@ import re
 import struct
 from functools import cache
 from itertools import accumulate
+from operator import sub
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +33,11 @@ _BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f
 # Endings that only their last letter makes one piece (fixed values).
 _LONG_ENDINGS = ("'re", "'ve", "'ll")
 
-# A common unit whose two pieces are plain to see: letters, then signs.
-_WORD = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|]*)")
-
+# Units of letters, digits, signs and single line ends, whose pieces are plain
+# to see, and those pieces.
+_LETTERS, _SIGNS = "A-Za-zÀ-ÖØ-öø-ÿ", r".,;:!?|#*$%&<>()_+@/-"
+_PLAIN = re.compile(f" ?[{_LETTERS}0-9{_SIGNS}]+(?:\n[{_LETTERS}0-9{_SIGNS}]+)*")
+_PLAIN_PIECES = re.compile(f" ?[{_LETTERS}]+| ?[0-9]+| ?[{_SIGNS}]+|\n")
 _BYTES = dict(enumerate(byte_characters()))
 
 
@@ -43,6 +46,10 @@ def _as_bytes(text: str) -> str:
     return text.encode().decode("latin-1").translate(_BYTES)
 
 
+def _steps(counts: list[int]) -> bytes:
+    return struct.pack(f"<{len(counts)}i", *map(sub, counts, [0, *counts]))
+
+
 class PrefixCounter:
     """Counts tokens at every prefix as the library's ``encode`` would."""
 
@@ -61,19 +68,20 @@ class PrefixCounter:
         self._text = {number: token for token, number in self._ids.items()}
         lengths: dict[str, set[int]] = {}
         for token in self._ids:
-            lengths.setdefault(token[-2:], set()).add(len(token))
-        self._lengths = {tail: sorted(found, reverse=True) for tail, found in lengths.items()}
+            if len(token) > 2:
+                lengths.setdefault(token[-3:], set()).add(len(token))
+        # Lengths of the tokens that end alike, the longest first.
+        self._lengths = {tail: (*sorted(found, reverse=True), 2, 1) for tail, found in lengths.items()}
+        self._known: dict[str, bytes] = {}
         self._states: dict[str, tuple[int, int]] = {}
-        self._follows: dict[tuple[int, int], bool] = {}
+        self._follows: dict[int, bool] = {}
 
     def _may_follow(self, first: int, second: int) -> bool:
-        known = self._follows.get((first, second))
-        if known is None:
-            found = self._model.tokenize(self._text[first] + self._text[second])
-            known = len(found) == 2 and found[0].id == first and found[1].id == second
-            if len(self._follows) > 1_000_000:
-                self._follows.clear()
-            self._follows[first, second] = known
+        found = self._model.tokenize(self._text[first] + self._text[second])
+        if len(self._follows) > 1_000_000:
+            self._follows.clear()
+        known = len(found) == 2 and found[0].id == first and found[1].id == second
+        self._follows[first << 20 | second] = known
         return known
 
     def piece(self, piece: str) -> list[int]:
@@ -81,40 +89,45 @@ class PrefixCounter:
 
         Pieces share beginnings, so the states of short prefixes are kept.
         """
-        states, kept = self._states, len(piece) <= CACHE_CHARS
+        states, ids, lengths, follows = self._states, self._ids, self._lengths, self._follows
+        kept = len(piece) <= CACHE_CHARS
         if len(states) > CACHE_UNITS:
             states.clear()
         counts, last = [0], [-1]
         for end in range(1, len(piece) + 1):
-            state = states.get(piece[:end]) if kept else None
+            prefix = piece[:end] if kept else ""
+            state = states.get(prefix)
             if state is None:
-                state = self._step(piece, end, counts, last)
+                for length in lengths.get(piece[max(0, end - 3) : end], (2, 1)):
+                    start = end - length
+                    if start < 0:
+                        continue
+                    token = ids.get(piece[start:end])
+                    if token is None:
+                        continue
+                    if start:
+                        fits = follows.get(last[start] << 20 | token)
+                        if not (self._may_follow(last[start], token) if fits is None else fits):
+                            continue
+                    state = (counts[start] + 1, token)
+                    break
+                else:
+                    raise ValueError(f"no token of the vocabulary ends at byte {end} of {piece!r}")
                 if kept:
-                    states[piece[:end]] = state
+                    states[prefix] = state
             counts.append(state[0])
             last.append(state[1])
         return counts[1:]
 
-    def _step(self, piece: str, end: int, counts: list[int], last: list[int]) -> tuple[int, int]:
-        """Count and last token of the prefix of ``end`` bytes."""
-        ids = self._ids
-        for length in (*self._lengths.get(piece[max(0, end - 2) : end], ()), 1):
-            if length > end:
-                continue
-            token = ids.get(piece[end - length : end])
-            if token is not None and (length == end or self._may_follow(last[end - length], token)):
-                return counts[end - length] + 1, token
-        raise ValueError(f"no token of the vocabulary ends at byte {end} of {piece!r}")
-
     def unit(self, unit: str) -> bytes:
         """Differences of the counts at each character of a unit to the
         character before, as 32-bit integers; see ``units.cut``."""
-        plain = _WORD.fullmatch(unit)
-        pieces = [(part, _as_bytes(part)) for part in plain.groups() if part] if plain else self._pieces(unit)
+        if _PLAIN.fullmatch(unit):
+            return b"".join(map(self._plain, _PLAIN_PIECES.findall(unit)))
         counts: list[int] = []
         starts: dict[int, int] = {}
         before = 0
-        for text, piece in pieces:
+        for text, piece in self._pieces(unit):
             starts[len(counts)] = before
             part = self._characters(text, piece, before)
             if text in _LONG_ENDINGS:
@@ -127,7 +140,18 @@ class PrefixCounter:
             blanks = self._pieces(run[0])
             if len(blanks) == 1:
                 counts[run.start() : run.end()] = self._characters(*blanks[0], starts[run.start()])
-        return struct.pack(f"<{len(counts)}i", *[now - then for now, then in zip(counts, [0, *counts], strict=False)])
+        return _steps(counts)
+
+    def _plain(self, text: str) -> bytes:
+        """The differences within one piece, which are the same wherever it stands."""
+        found = self._known.get(text)
+        if found is None:
+            found = _steps(self._characters(text, _as_bytes(text), 0))
+            if len(self._known) > CACHE_UNITS:
+                self._known.clear()
+            if len(text) <= CACHE_CHARS:
+                self._known[text] = found
+        return found
 
     def _pieces(self, text: str) -> list[tuple[str, str]]:
         found = self._library.pre_tokenizer.pre_tokenize_str(text)
