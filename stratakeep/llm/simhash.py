@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratakeep.llm import golay
+from stratakeep.llm import golay, shingles
 from stratakeep.llm.batches import map_texts
 from stratakeep.llm.components import components
 from stratakeep.sources.tables import stage
@@ -292,10 +292,13 @@ def fingerprint_text(fp: str = "fp"):
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each near-duplicate group, all columns.
 
-    The document with the smallest id stays; of repeated rows with that id
+    Near-duplicates are here those of ``shingles``: five words, similarity 0.8
+    or more, which reach far beyond four bits of a fingerprint. The document
+    with the smallest id stays; of repeated rows with that id
     one stays. Rows without an id are kept: they cannot be told apart.
     """
-    kept = near_duplicates(docs, doc_id, text).where(F.col(doc_id) == F.col("component_id")).select(doc_id).distinct()
+    found = shingles.near_duplicates(docs, doc_id, text)
+    kept = found.where(F.col(doc_id) == F.col("component_id")).select(doc_id).distinct()
     rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("_id"))
     once = rows.where("_id IS NOT NULL").dropDuplicates(["_id"])
     whole = once.join(kept.select(F.col(doc_id).alias("_id")), "_id", "left_semi")

@@ -1,0 +1,71 @@
+from __future__ import annotations
+
+from collections import Counter, defaultdict
+from itertools import combinations
+
+import numpy as np
+
+from stratakeep.llm import shingles, simhash
+
+
+def plain_set(text: str | None) -> frozenset[bytes]:
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode().split()
+    return frozenset(b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def brute_pairs(sets: list[frozenset[bytes]]) -> set[tuple[int, int]]:
+    """All pairs of Jaccard 0.8 or more, from counts of common shingles."""
+    holders, common = defaultdict(list), Counter()
+    for i, one in enumerate(sets):
+        for shingle in one:
+            holders[shingle].append(i)
+    for ids in holders.values():
+        common.update(combinations(ids, 2))
+    return {(a, b) for (a, b), n in common.items() if 10 * n >= 8 * (len(sets[a]) + len(sets[b]) - n)}
+
+
+def roots(n: int, pairs: set[tuple[int, int]]) -> list[int]:
+    root = list(range(n))
+    for _ in range(n):
+        before = list(root)
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+        if root == before:
+            return root
+    return root
+
+
+def test_keep_one_leaves_no_pair_and_drops_nothing_else(spark, documents):
+    rows = sorted(documents.select("doc_id", "text").collect())
+    pairs = brute_pairs([plain_set(row["text"]) for row in rows])
+    assert any(rows[a]["text"] != rows[b]["text"] and np.bitwise_count(simhash.fingerprint(rows[a]["text"]) ^ simhash.fingerprint(rows[b]["text"])) > 4 for a, b in pairs)
+    root = roots(len(rows), pairs)
+    kept = sorted(row["doc_id"] for row in simhash.keep_one(documents).select("doc_id").collect())
+    assert kept == [row["doc_id"] for i, row in enumerate(rows) if root[i] == i]
+
+
+def test_pairs_at_the_border(spark):
+    """Sets of 90 and 90 with 80 in common lie at 0.8, with 79 below."""
+    words = [f"w{i}" for i in range(94)]
+    at, below = [words[:84] + [f"{c}{i}" for i in range(10)] for c in "xy"], [words[:83] + [f"{c}{i}" for i in range(11)] for c in "uv"]
+    for left, right, like in ((*at, True), (*below, False)):
+        a, b = (shingles.shingle_set([w.encode() for w in x]) for x in (left, right))
+        assert len(a) == len(b) == 90 and shingles.similar(a, b) == like
+    docs = spark.createDataFrame([(1, " ".join(at[0])), (2, " ".join(at[1]))], "doc_id long, text string")
+    assert [row["doc_id"] for row in simhash.keep_one(docs).collect()] == [1]
+
+
+def test_large_group_dealt_out_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(shingles, "BLOCK", 16)
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for _ in range(150):
+        words = list(base)
+        for at in rng.choice(120, rng.integers(1, 4), replace=False):
+            words[at] = f"n{rng.integers(1000)}"
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    root = roots(len(rows), brute_pairs([plain_set(x) for x in texts]))
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(row["doc_id"] for row in kept.collect()) == [i for i in range(len(rows)) if root[i] == i]
