@@ -294,12 +294,13 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
     Near-duplicates are here those of ``shingles``: five words, similarity 0.8
     or more, which reach far beyond four bits of a fingerprint. The document
-    with the smallest id stays; of repeated rows with that id
-    one stays. Rows without an id are kept: they cannot be told apart.
+    with the smallest id stays; of several texts of a group with that id the
+    one with the least hash, and of rows repeated in id and text one. Rows that
+    share an id but not a group are judged each for itself. Rows without an id
+    are kept: they cannot be told apart.
     """
-    found = shingles.near_duplicates(docs, doc_id, text)
-    kept = found.where(F.col(doc_id) == F.col("component_id")).select(doc_id).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("_id"))
-    once = rows.where("_id IS NOT NULL").dropDuplicates(["_id"])
-    whole = once.join(kept.select(F.col(doc_id).alias("_id")), "_id", "left_semi")
+    found = shingles.near_duplicates(docs, doc_id, text).select(F.col(doc_id).alias("_id"), F.col("text_hash").alias("_hash"), "component")
+    kept = found.where("_id IS NOT NULL").groupBy("component").agg(F.min(F.struct("_id", "_hash")).alias("one")).select("one.*")
+    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_hash"))
+    whole = rows.join(kept, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"])
     return whole.select("row.*").union(rows.where("_id IS NULL").select("row.*"))

@@ -69,3 +69,12 @@ def test_large_group_dealt_out_in_blocks(spark, monkeypatch):
     root = roots(len(rows), brute_pairs([plain_set(x) for x in texts]))
     kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(row["doc_id"] for row in kept.collect()) == [i for i in range(len(rows)) if root[i] == i]
+
+
+def test_rows_that_share_an_id_are_judged_by_their_texts(spark):
+    long = [" ".join(f"{c}{i}" for i in range(60)) for c in "abc"]
+    near = long[1] + " more"
+    # Id 5 has a copy of text 1, a text of its own and twice one near text 7's.
+    rows = [(1, long[0]), (5, long[0]), (5, long[2]), (5, near), (5, near), (7, long[1])]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((row["doc_id"], row["text"]) for row in kept) == sorted([(1, long[0]), (5, long[2]), (5, near)])
