@@ -17,7 +17,7 @@ guess, and none is missed.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations, permutations
 
 import numpy as np
@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratakeep.llm import golay, shingles
+from stratakeep.llm import golay
 from stratakeep.llm.batches import map_texts
 from stratakeep.llm.components import components
 from stratakeep.sources.tables import stage
@@ -70,13 +70,15 @@ def fingerprint(text: str) -> int:
     return int(np.packbits(2 * votes > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def fingerprints(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carried: Sequence[str] = ()
+) -> DataFrame:
     """``doc_id, fp``: SimHash over four-word shingles, as a signed long.
 
     A-Z are lower-cased and words parted at ASCII white space. A bit is set
     if it is set in more than half of the shingles' XXH64 (seed 42), repeats
     included. A text of fewer than four words is one shingle; a null text
-    or one without words has fingerprint zero.
+    or one without words has fingerprint zero. ``carried`` columns come along.
     """
 
     def start():
@@ -86,7 +88,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
         return make
 
-    return map_texts(docs, [doc_id], text, "fp long", start)
+    return map_texts(docs, [doc_id, *carried], text, "fp long", start)
 
 
 def fuzzy_keys(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -259,16 +261,19 @@ def links(values: DataFrame) -> DataFrame:
     return dealt.mapInArrow(_edges, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carried: Sequence[str] = ()
+) -> DataFrame:
     """``doc_id, fp, component_id``: one row per row of ``docs``.
 
     Documents are linked if their fingerprints differ in four bits or fewer;
     ``component_id`` is the smallest id reachable. Texts with equal
     fingerprints are one node, so copies are never paired. Repeated rows stay
     repeated; an id that is null never becomes a component's id while the
-    component has another. An empty table gives an empty result.
+    component has another. An empty table gives an empty result. ``carried``
+    columns come along.
     """
-    table = stage(fingerprints(docs, doc_id, text), "fingerprints")
+    table = stage(fingerprints(docs, doc_id, text, carried), "fingerprints")
     classes = stage(table.groupBy("fp").agg(F.min(doc_id).alias("_least")), "fingerprint-classes")
     rooted = components(links(classes.select("fp"))).withColumnRenamed("node", "fp")
     of_class = classes.join(rooted, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
@@ -281,7 +286,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         of_class.join(least, "root", "left").select("fp", F.coalesce("_root_least", "_least").alias("component_id")),
         "fingerprint-components",
     )
-    return table.join(mapped, "fp").select(doc_id, "fp", "component_id")
+    return table.join(mapped, "fp").select(doc_id, "fp", "component_id", *carried)
 
 
 def fingerprint_text(fp: str = "fp"):
@@ -292,15 +297,26 @@ def fingerprint_text(fp: str = "fp"):
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each near-duplicate group, all columns.
 
-    Near-duplicates are here those of ``shingles``: five words, similarity 0.8
-    or more, which reach far beyond four bits of a fingerprint. The document
-    with the smallest id stays; of several texts of a group with that id the
-    one with the least hash, and of rows repeated in id and text one. Rows that
-    share an id but not a group are judged each for itself. Rows without an id
-    are kept: they cannot be told apart.
+    Groups are those of ``near_duplicates``. The document with the smallest id
+    stays; of several texts of a group with that id the one with the least
+    hash, and of rows repeated in id and text one. Rows that share an id but
+    not a group are judged each for itself. Rows without an id are kept: they
+    cannot be told apart. Survivors are found among ids and hashes; texts are
+    shuffled once, and again only those repeated in id and text.
     """
-    found = shingles.near_duplicates(docs, doc_id, text).select(F.col(doc_id).alias("_id"), F.col("text_hash").alias("_hash"), "component")
-    kept = found.where("_id IS NOT NULL").groupBy("component").agg(F.min(F.struct("_id", "_hash")).alias("one")).select("one.*")
+    hashed = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_hash"), F.col(text).alias("_text"))
+    found = near_duplicates(hashed, "_id", "_text", ["_hash"]).where("_id IS NOT NULL")
+    row = F.struct("_id", "_hash")
+    survivors = stage(
+        found.groupBy("component_id", "_id", "_hash")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy("component_id")
+        .agg(F.min(row).alias("one"), F.min_by("_n", row).alias("_n"))
+        .select("one.*", "_n"),
+        "survivors",
+    )
     rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_hash"))
-    whole = rows.join(kept, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"])
-    return whole.select("row.*").union(rows.where("_id IS NULL").select("row.*"))
+    once = rows.join(survivors.where("_n = 1"), ["_id", "_hash"], "left_semi")
+    repeated = rows.join(survivors.where("_n > 1"), ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"])
+    kept = once.unionByName(repeated).unionByName(rows.where("_id IS NULL"))
+    return kept.select("row.*")
