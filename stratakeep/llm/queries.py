@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from stratakeep.llm import byte_bpe, chat, collisions, lattice_lm, mixing, pii, quality_classifier, quality_rules, simhash, token_counts
+from stratakeep.llm import alignment, byte_bpe, chat, collisions, lattice_lm, mixing, pii, quality_classifier, quality_rules, simhash, token_counts
 from stratakeep.llm.oracle import ORACLE
 from stratakeep.llm.batches import remainder
 from stratakeep.llm.text_stats import NAMES
@@ -146,6 +146,13 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers' tokens over all documents."""
+    found = alignment.aligned(_table(spark, sf_dir, "documents"), ENGLISH_BPE, PIECES)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return found.withColumn("groups_sha256", digest).drop("groups")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
@@ -157,6 +164,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lattice_lm": op8_lattice_lm,
     "op9_collisions": op9_collisions,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_alignment": op11_alignment,
 }
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -1,0 +1,136 @@
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from stratakeep.llm import alignment
+from stratakeep.llm.byte_bpe import byte_characters
+from stratakeep.llm.queries import ENGLISH_BPE, PIECES, QUERIES
+from tests.llm.conftest import SF_DIR
+
+
+@pytest.fixture(scope="module")
+def libraries():
+    bpe = Tokenizer.from_file(ENGLISH_BPE)
+    bpe.encode_special_tokens = True
+    return bpe, sentencepiece.SentencePieceProcessor(model_file=PIECES)
+
+
+def spans(tokens: list[bytes]) -> list[tuple[int, int]]:
+    ends = np.cumsum([0, *map(len, tokens)]).tolist()
+    return list(zip(ends, ends[1:], strict=False))
+
+
+def brute(text: str | None, libraries) -> dict:
+    """Groups and links of one text, straight from the definitions."""
+    bpe, pieces = libraries
+    nothing = {"a": [], "b": [], "groups": [], "links": []}
+    if not text:
+        return nothing
+    byte_of = {c: i for i, c in enumerate(byte_characters())}
+    a = bpe.encode(" " + text, add_special_tokens=False).ids
+    b = pieces.encode(text)
+    bytes_a = [bytes(byte_of[c] for c in bpe.id_to_token(i)) for i in a]
+    bytes_b = []
+    for i in b:
+        piece = pieces.id_to_piece(i)
+        bytes_b.append(bytes([int(piece[3:-1], 16)]) if pieces.is_byte(i) else piece.replace("▁", " ").encode())
+    wanted = b" " + text.encode()
+    if b"".join(bytes_a) != wanted or b"".join(bytes_b) != wanted:
+        return nothing
+    over_a, over_b = spans(bytes_a), spans(bytes_b)
+    links, at = [], 0
+    for i, (start, end) in enumerate(over_a):
+        while over_b[at][1] <= start:
+            at += 1
+        other = at
+        while other < len(over_b) and over_b[other][0] < end:
+            links.append((a[i], b[other]))
+            other += 1
+    shared = sorted({end for _, end in over_a} & {end for _, end in over_b})
+    groups, left = [], 0
+    for end in shared:
+        side = lambda ids, over: ",".join(str(x) for x, (i, j) in zip(ids, over, strict=True) if left <= i and j <= end)
+        groups.append(side(a, over_a) + "|" + side(b, over_b)) if len(text) < 3000 else groups.append("")
+        left = end
+    return {"a": a, "b": b, "groups": groups, "links": links}
+
+
+def check(rows, texts: list[str | None], libraries) -> None:
+    """``rows`` as counted tuples against the definitions over all ``texts``."""
+    found = {}
+    for text in set(texts):
+        found[text] = brute(text, libraries)
+    counts = Counter()
+    for text in texts:
+        counts.update(found[text]["links"])
+    most = Counter()
+    for (_, b), n in counts.items():
+        most[b] = max(most[b], n)
+    wanted = []
+    for text in texts:
+        one = found[text]
+        best = sum(counts[x] == most[x[1]] for x in one["links"])
+        total = sum(counts[x] for x in one["links"])
+        groups = ";".join(one["groups"]) if not text or len(text) < 3000 else None
+        wanted.append((len(one["a"]), len(one["b"]), len(one["groups"]), len(one["links"]), best, total, groups))
+    for row, (*numbers, groups) in zip(rows, wanted, strict=True):
+        assert [row["n_a"], row["n_b"], row["n_groups"], row["n_links"], row["n_best"], row["count_sum"]] == numbers
+        if groups is not None:
+            assert row["groups"] == groups
+
+
+def test_random_texts_in_small_chunks(spark, libraries, monkeypatch):
+    monkeypatch.setattr(alignment, "CHUNK_BYTES", 400)
+    monkeypatch.setattr(alignment, "FREQUENT", 50)
+    rng = random.Random(4)
+    parts = ["the", " ", "  ", "\n", "\t", "ä", "é", "🙂", "日本", "x", "'s", "123", "<|endoftext|>", "<s>", "<0x0A>", " and", ".", ",\n", " ", "ing", " ", "\x1c"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(1, 40))) for _ in range(400)]
+    texts += ["a ▁b", "▁", " ", "\n", "", None, "same words here", "same words here"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    rows = sorted(alignment.aligned(table, ENGLISH_BPE, PIECES).collect(), key=lambda row: row["doc_id"])
+    check(rows, texts, libraries)
+
+
+def test_query_against_brute_force(spark, documents, libraries):
+    from pyspark.sql import functions as F
+
+    texts = {row["doc_id"]: row["text"] for row in documents.collect()}
+    rows = alignment.aligned(documents, ENGLISH_BPE, PIECES).collect()
+    check(rows, [texts[row["doc_id"]] for row in rows], libraries)
+    digests = {row["doc_id"]: row for row in QUERIES["op11_alignment"](spark, SF_DIR).collect()}
+    assert len(digests) == len(texts)
+    for row in rows:
+        digest = hashlib.sha256(row["groups"].encode()).hexdigest() if row["groups"] else ""
+        assert digests[row["doc_id"]]["groups_sha256"] == digest
+        assert digests[row["doc_id"]]["count_sum"] == row["count_sum"]
+
+
+def test_units_in_a_line_are_those_of_whole_texts(libraries):
+    both = alignment.encoders(ENGLISH_BPE, PIECES)
+    rng = random.Random(8)
+    alphabet = "abcTHE  \n'.,-19é日🙂 "
+    texts = ["".join(rng.choices(alphabet, k=rng.randrange(1, 60))) for _ in range(3000)]
+    for text, (a, b) in zip(texts, both.ids(texts), strict=True):
+        one = brute(text, libraries)
+        assert (a.tolist(), b.tolist()) == (one["a"], one["b"])
+
+
+def test_odd_rows(spark, edge_docs, empty_docs, libraries):
+    rows = alignment.aligned(edge_docs, ENGLISH_BPE, PIECES).collect()
+    given = [row["text"] for row in edge_docs.collect()]
+    assert len(rows) == len(given)
+    order = lambda row: (row["doc_id"] is None, row["doc_id"] or 0, row["n_a"])
+    texts = {}
+    for row in edge_docs.collect():
+        texts.setdefault(row["doc_id"], []).append(row["text"])
+    known = {i: sorted(group, key=lambda x: len(x or "")) for i, group in texts.items()}
+    rows = sorted(rows, key=order)
+    check(rows, [known[row["doc_id"]].pop(0) for row in rows], libraries)
+    assert alignment.aligned(empty_docs, ENGLISH_BPE, PIECES).count() == 0

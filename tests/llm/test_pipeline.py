@@ -27,7 +27,7 @@ def stages(spark, documents, tmp_path_factory):
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(contract.oracle_sql())
 
 
