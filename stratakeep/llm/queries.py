@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from stratakeep.llm import alignment, byte_bpe, chat, collisions, lattice_lm, mixing, pii, quality_classifier, quality_rules, simhash, token_counts
+from stratakeep.llm import alignment, byte_bpe, chat, collisions, language_id, lattice_lm, mixing, pii, quality_classifier, quality_rules, simhash, token_counts
 from stratakeep.llm.oracle import ORACLE
 from stratakeep.llm.batches import remainder
 from stratakeep.llm.text_stats import NAMES
@@ -153,6 +153,14 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("groups_sha256", digest).drop("groups")
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents; a fifth of the ids is held out of training."""
+    docs = _table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_id.train(docs), ["doc_id"])
+    held_out = F.coalesce(remainder(F.col("doc_id"), language_id.HELD_OUT_MODULUS) == 0, F.lit(False))
+    return found.withColumn("held_out", held_out)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
@@ -165,6 +173,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_collisions": op9_collisions,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_alignment": op11_alignment,
+    "op12_language_id": op12_language_id,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
