@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from stratakeep.llm import alignment, byte_bpe, chat, collisions, language_id, lattice_lm, mixing, pii, quality_classifier, quality_rules, simhash, token_counts
+from stratakeep.llm import alignment, byte_bpe, chat, collisions, language_id, lattice_lm, mixing, pii, quality_classifier, quality_rules, ranked_search, simhash, token_counts
 from stratakeep.llm.oracle import ORACLE
 from stratakeep.llm.batches import remainder
 from stratakeep.llm.text_stats import NAMES
@@ -161,6 +161,11 @@ def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", held_out)
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents of every benchmark item."""
+    return ranked_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
@@ -174,6 +179,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_classifier": op10_quality_classifier,
     "op11_alignment": op11_alignment,
     "op12_language_id": op12_language_id,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
