@@ -27,7 +27,7 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays (operator 2)."""
+    """One document of each group of near fingerprints stays (operator 2)."""
     return simhash.keep_one(docs)
 
 
