@@ -17,9 +17,11 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,7 @@ from tokenizers import Tokenizer
 
 from stratakeep.llm.batches import slices
 from stratakeep.llm.byte_bpe import byte_characters
-from stratakeep.llm.units import CACHE_CHARS, CACHE_UNITS, cut
+from stratakeep.llm.units import CACHE_CHARS, cut
 from stratakeep.sources.tables import stage
 
 # A chunk ends at so many bytes of text; one longer text is a chunk alone.
@@ -42,9 +44,11 @@ SLICE_ROWS = 256
 FREQUENT = 200_000
 # An id pair is written as one number: the first id times this, plus the second.
 PAIR = 1 << 15
-# Windows kept per Python worker, and the most tokens of one that is kept.
-MEMO_WINDOWS = 300_000
+# Units and windows kept per Python worker, and the most tokens of a window kept.
+CACHE_UNITS = MEMO_WINDOWS = 500_000
 MEMO_TOKENS = 64
+# Units that one line holds.
+LINE_UNITS = 1024
 
 _SPACE = "▁"
 
@@ -143,8 +147,8 @@ class Encoders:
         parted = [cut(text) if text else [] for text in texts]
         new = list({unit for units in parted for unit in units} - known.keys())
         plain = [unit for unit in new if unit and not unit[0].isspace() and not unit[-1].isspace()]
-        for start in range(0, len(plain), 256):
-            part = plain[start : start + 256]
+        for start in range(0, len(plain), LINE_UNITS):
+            part = plain[start : start + LINE_UNITS]
             known.update(zip(part, self._encode_line(part), strict=True))
         odd = [unit for unit in new if unit not in known]
         if odd:
@@ -168,53 +172,60 @@ def encoders(path_a: str, path_b: str) -> Encoders:
     return Encoders(path_a, path_b)
 
 
-@dataclass(frozen=True)
-class Window:
+class Window(NamedTuple):
     """The alignment of one window: groups as text, their number, the links."""
 
     groups: str
     n_groups: int
-    pairs: np.ndarray
-
-
-def align(a: np.ndarray, b: np.ndarray, vocabularies: tuple[Vocabulary, Vocabulary]) -> Window:
-    """Groups and links of ids that cover the same bytes.
-
-    Between two neighbouring ends, of either side, one token of each side
-    covers the bytes; every such stretch is a link of its own.
-    """
-    ends_a, ends_b = (np.cumsum(v.widths[ids]) for ids, v in zip((a, b), vocabularies, strict=True))
-    stretches = np.union1d(ends_a, ends_b)
-    of_a, of_b = np.searchsorted(ends_a, stretches), np.searchsorted(ends_b, stretches)
-    pairs = (a[of_a].astype(np.int64) * PAIR + b[of_b]).astype("<i4")
-    shared = (ends_a[of_a] == stretches) & (ends_b[of_b] == stretches)
-    cuts_a, cuts_b = [0, *(of_a[shared] + 1).tolist()], [0, *(of_b[shared] + 1).tolist()]
-    text_a, text_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-    groups = [
-        ",".join(text_a[i:j]) + "|" + ",".join(text_b[k:m])
-        for i, j, k, m in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:], strict=False)
-    ]
-    return Window(";".join(groups), len(groups), pairs)
+    pairs: bytes
 
 
 class Memo:
-    """Alignments of windows by their two id tuples."""
+    """Alignments of windows, kept by their two id tuples."""
 
     def __init__(self, vocabularies: tuple[Vocabulary, Vocabulary]) -> None:
-        self._vocabularies = vocabularies
+        self._widths = tuple(v.widths.tolist() for v in vocabularies)
         self._known: dict[tuple[bytes, bytes], Window] = {}
 
     def __getitem__(self, ids: tuple[bytes, bytes]) -> Window:
         found = self._known.get(ids)
         if found is None:
-            a, b = (np.frombuffer(side, dtype="<i4") for side in ids)
-            found = align(a, b, self._vocabularies)
+            a, b = (memoryview(side).cast("i").tolist() for side in ids)
+            found = self.align(a, b)
             if len(a) <= MEMO_TOKENS:
                 if len(self._known) >= MEMO_WINDOWS:
                     self._known.clear()
                 self._known[ids] = found
         return found
 
+    def align(self, a: list[int], b: list[int]) -> Window:
+        """Groups and links of ids that cover the same bytes.
+
+        Between two neighbouring ends, of either side, one token of each side
+        covers the bytes; every such stretch is a link of its own.
+        """
+        width_a, width_b = self._widths
+        pairs, groups = array("i"), []
+        i = j = from_a = from_b = 0
+        end_a, end_b = width_a[a[0]], width_b[b[0]]
+        while True:
+            pairs.append(a[i] * PAIR + b[j])
+            ahead = end_a - end_b
+            if ahead <= 0:
+                i += 1
+            if ahead >= 0:
+                j += 1
+            if not ahead:
+                groups.append(",".join(map(str, a[from_a:i])) + "|" + ",".join(map(str, b[from_b:j])))
+                from_a, from_b = i, j
+                if i == len(a):
+                    break
+            if ahead <= 0:
+                end_a += width_a[a[i]]
+            if ahead >= 0:
+                end_b += width_b[b[j]]
+        return Window(";".join(groups), len(groups), pairs.tobytes())
+
 
 def windows(a: np.ndarray, b: np.ndarray, vocabularies: tuple[Vocabulary, Vocabulary]) -> list[tuple[bytes, bytes]]:
     """The id tuples, as bytes, between neighbouring anchors of one text."""
@@ -254,8 +265,8 @@ def _chunked(docs: DataFrame, path_a: str, path_b: str, doc_id: str, text: str)
         used: list[int] = []
 
         def close() -> pa.RecordBatch:
-            sizes = np.array([len(one.pairs) for one in found], dtype=np.int32)
-            flat = np.concatenate([_NOTHING, *[one.pairs for one in found]])
+            sizes = np.array([len(one.pairs) // 4 for one in found], dtype=np.int32)
+            flat = np.frombuffer(b"".join([one.pairs for one in found]), dtype="<i4")
             pairs, at = np.unique(flat, return_inverse=True)
             uses = np.bincount(at, weights=np.repeat(np.array(used, dtype=float), sizes), minlength=len(pairs))
             blank = [None]
