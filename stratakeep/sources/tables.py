@@ -1,4 +1,4 @@
-"""Parquet tables: insert-only loads, truncate-and-load tables, staging.
+"""Parquet tables: insert-only loads, tables written anew, staging.
 
 An insert-only table is a directory partitioned by ``load_id``. Writing a load
 replaces the partition of the same ``load_id`` and nothing else, so a load can
@@ -16,15 +16,20 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratakeep.sources.buckets import BucketTable
+
 LOAD_ID = "load_id"
 _LOAD_ID_FORM = re.compile(r"[A-Za-z0-9_-]+")
 
 
-def _exists(spark: SparkSession, pattern: str) -> bool:
-    """Whether the file system of the pattern holds a match."""
+def _matches(spark: SparkSession, pattern: str) -> list:
+    """What the file system of the pattern holds of it."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
-    return found is not None and len(found) > 0
+    return list(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or [])
+
+
+def _exists(spark: SparkSession, pattern: str) -> bool:
+    return bool(_matches(spark, pattern))
 
 
 def _open(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame:
@@ -86,14 +91,21 @@ def append_load(df: DataFrame, path: str, load_id: str) -> int:
     return rows
 
 
+def loads_of(spark: SparkSession, path: str) -> set[str]:
+    """Names of the loads that a table holds rows of."""
+    found = _matches(spark, f"{path}/{LOAD_ID}=*")
+    return {status.getPath().getName().removeprefix(f"{LOAD_ID}=") for status in found}
+
+
 def replace_table(df: DataFrame, path: str) -> None:
-    """Truncate and load. ``df`` must not read from ``path``."""
-    df.write.mode("overwrite").parquet(path)
+    """Write a table anew. What was there before stays readable until the new
+    rows are complete, so a write that fails loses nothing, and ``df`` may read it."""
+    BucketTable(df.sparkSession, path, df.columns).replace(df)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """A truncate-and-load table; None if it was never written."""
-    return _open(spark, path, schema) if _exists(spark, f"{path}/*.parquet") else None
+    """A table written by ``replace_table``; None if it was never written."""
+    return BucketTable(spark, path, ()).read(schema)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
