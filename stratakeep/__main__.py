@@ -33,9 +33,7 @@ def run_job(
     """Run a job by name and return what it loaded."""
     warehouse = Warehouse(spark, root, load_id, load_ts)
     if job in DERIVED_JOBS:
-        if late:
-            raise ValueError(f"job {job} reads stored tables and has no late events")
-        return DERIVED_JOBS[job](warehouse, legacy)
+        return DERIVED_JOBS[job](warehouse, legacy, late=late)
     if landing is None:
         raise ValueError(f"job {job} needs a landing path")
     options = JobOptions(legacy_dates=legacy, mode="batch" if legacy else "sequenced", late=late)
@@ -50,7 +48,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--load-id", help="name of the load; a rerun under the same name replaces it")
     parser.add_argument("--load-ts", type=datetime.fromisoformat, help="time of the load, ISO 8601, UTC if without zone")
     parser.add_argument("--legacy", action="store_true", help="literal historic dates, comparison and email rule")
-    parser.add_argument("--late", action="store_true", help="the batch may hold events older than stored ones")
+    parser.add_argument("--late", action="store_true", help="events may be older than stored ones; also for the derived job after such a load")
     parser.add_argument("--rejects", help="directory for rows that could not be loaded")
     options = parser.parse_args(arguments)
 

@@ -161,3 +161,34 @@ def event_delta(
         return distinct
     known = stored.select(hash_key, HASH_DIFF)
     return distinct.join(known, [hash_key, HASH_DIFF], "left_anti").select(*new.columns)
+
+
+def net_events(rows: DataFrame, hash_key: str) -> DataFrame:
+    """Events that count: those written and not taken back, once each.
+
+    ``rows`` carry a ``sign``, 1 or null for an event written and -1 for one
+    taken back; what counts is the sum of signs of a key and digest.
+    """
+    others = [name for name in rows.columns if name not in (hash_key, HASH_DIFF, "sign")]
+    total = F.sum(F.coalesce("sign", F.lit(1)))
+    summed = rows.groupBy(hash_key, HASH_DIFF).agg(total.alias("_net"), F.max_by(F.struct(*others), LOADED_AT).alias("_row"))
+    return summed.where("_net > 0").select(hash_key, HASH_DIFF, "_row.*").select(*[c for c in rows.columns if c != "sign"])
+
+
+def signed_delta(
+    new: DataFrame, hash_key: str, stored: DataFrame | None, scope: DataFrame, loaded_at: Column
+) -> DataFrame:
+    """Rows with a ``sign`` that turn the stored events of some keys into ``new``.
+
+    ``scope`` names the keys derived anew: their events not stored come with
+    1, stored events of theirs that are not in ``new`` are taken back with -1. Events
+    of other keys stay. Shuffles on (key, digest) spread an oversized key.
+    """
+    wanted = new.dropDuplicates([hash_key, HASH_DIFF])
+    if stored is None:
+        return wanted.withColumn("sign", F.lit(1))
+    event = [hash_key, HASH_DIFF]
+    counting = net_events(stored, hash_key).join(scope.select(hash_key).distinct(), hash_key, "left_semi")
+    added = wanted.join(counting.select(*event), event, "left_anti").withColumn("sign", F.lit(1))
+    gone = counting.join(wanted.select(*event), event, "left_anti").withColumn("sign", F.lit(-1))
+    return added.unionByName(gone.withColumn(LOADED_AT, loaded_at).select(*added.columns))

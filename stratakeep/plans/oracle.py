@@ -262,4 +262,17 @@ ORACLE: dict[str, str] = {
                l_shipdate AS event_time
         FROM deltas JOIN orders ON l_orderkey = o_orderkey
         WHERE quantity <> before OR removed""",
+    "job_late_products": """
+        WITH versions AS (
+            SELECT 'first' AS known_at, unnest([1, 3]) AS day, * FROM part
+            UNION ALL
+            SELECT 'second', unnest([1, 2, 3]), * FROM part),
+        timed AS (SELECT *, TIMESTAMP '2023-12-31 00:00:00' + to_days(cast(day AS integer)) AS valid_from FROM versions)
+        SELECT known_at, md5(cast(p_partkey AS varchar)) AS product_hash_key, valid_from,
+               lead(valid_from) OVER (PARTITION BY known_at, p_partkey ORDER BY day) AS valid_to,
+               cast(cast(p_retailprice AS decimal(18, 2)) * 100 AS bigint) + 100 * day AS sale_price_in_cents
+        FROM timed""",
 }
+
+# Loads out of order give what loads in order give.
+ORACLE["job_late_items"] = ORACLE["job_carts"]

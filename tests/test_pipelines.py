@@ -355,11 +355,3 @@ def test_a_load_of_another_owner_is_refused(spark, tmp_path):
     pipelines.load_products(Warehouse(spark, root, "x", owner="stream 1"), read(spark, "product", path))
     with pytest.raises(ValueError, match="stream 1"):
         Warehouse(spark, root, "x", owner="stream 2")
-
-
-def test_late_events_are_refused_where_they_cannot_be_placed(spark, tmp_path):
-    path, root = land(tmp_path, "cart_item", "a", [item("c", "p", 2, 1)]), str(tmp_path / "vault")
-    with pytest.raises(ValueError, match="late"):
-        run_job(spark, "cart_item", root, path, "one", late=True)
-    with pytest.raises(ValueError, match="late"):
-        run_job(spark, "derive_carts", root, load_id="one", late=True)
