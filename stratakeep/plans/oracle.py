@@ -272,6 +272,12 @@ ORACLE: dict[str, str] = {
                lead(valid_from) OVER (PARTITION BY known_at, p_partkey ORDER BY day) AS valid_to,
                cast(cast(p_retailprice AS decimal(18, 2)) * 100 AS bigint) + 100 * day AS sale_price_in_cents
         FROM timed""",
+    "stream_parts": """
+        WITH priced AS (
+            SELECT *, cast(cast(p_retailprice AS decimal(18, 2)) * 100 AS bigint) AS cents FROM part)
+        SELECT md5(cast(p_partkey AS varchar)) AS product_hash_key, cents AS sale_price_in_cents, 1 AS day FROM priced
+        UNION ALL
+        SELECT md5(cast(p_partkey AS varchar)), cents + 100, 2 FROM priced WHERE p_size > 25""",
 }
 
 # Loads out of order give what loads in order give.

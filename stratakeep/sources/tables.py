@@ -10,7 +10,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Collection
+from collections.abc import Collection, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,8 @@ from pyspark.sql import types as T
 from stratakeep.sources.buckets import BucketTable
 
 LOAD_ID = "load_id"
+# Scratch paths of the innermost scope.
+_held: ContextVar[list[str] | None] = ContextVar("held", default=None)
 _LOAD_ID_FORM = re.compile(r"[A-Za-z0-9_-]+")
 
 
@@ -120,7 +124,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         if not re.fullmatch(r"local(\[[^]]*\])?", spark.conf.get("spark.master", "local")):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         shared = tempfile.mkdtemp(prefix="stratakeep-")
-    return f"{shared.rstrip('/')}/stratakeep/{name}-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/stratakeep/{name}-{uuid.uuid4().hex}"
+    held = _held.get()
+    if held is not None:
+        held.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Own what is staged inside: it is removed at the end, also after an error.
+
+    DataFrames that read staged rows must not be used after it.
+    """
+    token = _held.set([])
+    try:
+        yield
+    finally:
+        paths = _held.get()
+        _held.reset(token)
+        for name in paths:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -1,3 +1,4 @@
 from stratakeep.streaming.landing_stream import stream_landing
+from stratakeep.streaming.satellite_stream import changed_rows, stream_satellite
 
-__all__ = ["stream_landing"]
+__all__ = ["changed_rows", "stream_landing", "stream_satellite"]

@@ -9,6 +9,7 @@ from stratakeep.plans.pipelines import DEFAULT, LANDING_JOBS, JobOptions
 from stratakeep.plans.warehouse import Warehouse
 from stratakeep.sources.landing import read_landing
 from stratakeep.sources.schemas import LANDING_SCHEMAS
+from stratakeep.sources.tables import scratch_scope
 
 
 def stream_landing(
@@ -34,7 +35,8 @@ def stream_landing(
     def load(batch: DataFrame, batch_id: int) -> None:
         stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         load_id = f"stream-{source}-{stream}-{batch_id}"
-        job(Warehouse(batch.sparkSession, root, load_id, owner=f"stream {stream}"), batch, options)
+        with scratch_scope(batch.sparkSession):
+            job(Warehouse(batch.sparkSession, root, load_id, owner=f"stream {stream}"), batch, options)
 
     landed = read_landing(spark, path, LANDING_SCHEMAS[source], streaming=True, max_files=max_files)
     return (
