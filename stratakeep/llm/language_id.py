@@ -29,6 +29,8 @@ from stratakeep.llm.batches import map_texts, remainder, slices
 # The sample: rows of one language and of all languages, at most.
 MAX_PER_LANGUAGE = 1_000
 MAX_LABELLED = 6_000
+# Rows of a frequent language that are looked at for each one wanted.
+OVERSAMPLED = 4
 # Ids whose crc32 modulo this is zero are never learned from.
 HELD_OUT_MODULUS = 5
 # One sampled row in so many calibrates instead of training.
@@ -185,6 +187,13 @@ def calibrate(model: LanguageModel, bags: list[tuple[np.ndarray, np.ndarray]], c
     return LanguageModel(model.languages, model.scores, model.bias, temperature, threshold)
 
 
+def _lists(column: pa.ChunkedArray, kind: type) -> list[np.ndarray]:
+    """The rows of a list column as arrays, without an object per value."""
+    whole = column.combine_chunks()
+    values, ends = whole.flatten().to_numpy().astype(kind), np.cumsum(whole.value_lengths().to_numpy())
+    return np.split(values, ends[:-1])
+
+
 def train(docs: DataFrame, lang: str = "lang", doc_id: str = "doc_id", text: str = "text") -> LanguageModel:
     """A model of the languages of ``docs``.
 
@@ -198,9 +207,17 @@ def train(docs: DataFrame, lang: str = "lang", doc_id: str = "doc_id", text: str
     usable = docs.where(
         F.col(lang).isNotNull() & F.col(text).isNotNull() & (remainder(F.col(doc_id), HELD_OUT_MODULUS) != 0)
     ).select(F.col(lang).cast("string").alias("_lang"), F.xxhash64(F.col(text)).alias("_hash"), F.col(doc_id).alias("_id"))
-    of_language = Window.partitionBy("_lang").orderBy("_hash", "_id")
+    # Of a frequent language only small hashes take part, a few times the rows
+    # wanted, so that its window holds few rows whatever the size of the table.
+    wanted = OVERSAMPLED * MAX_PER_LANGUAGE
+    often = usable.groupBy("_lang").count().where(F.col("count") > wanted).orderBy(F.desc("count"), "_lang").limit(MAX_LABELLED).collect()
+    shares = [F.lit(x) for row in often for x in (row["_lang"], wanted / row["count"])]
+    share = F.coalesce(F.create_map(*shares)[F.col("_lang")], F.lit(1.0)) if shares else F.lit(1.0)
+    usable = usable.withColumn("_drawn", F.pmod(F.xxhash64("_id", "_hash"), F.lit(1 << 30)))
+    of_language = Window.partitionBy("_lang").orderBy("_drawn", "_id", "_hash")
     chosen = (
-        usable.withColumn("_place", F.row_number().over(of_language))
+        usable.where(F.col("_drawn") < share * (1 << 30))
+        .withColumn("_place", F.row_number().over(of_language))
         .where(F.col("_place") <= MAX_PER_LANGUAGE)
         .orderBy("_place", "_lang")
         .limit(MAX_LABELLED)
@@ -230,10 +247,7 @@ def train(docs: DataFrame, lang: str = "lang", doc_id: str = "doc_id", text: str
     languages = tuple(sorted(set(names)))
     if not languages:
         return LanguageModel((), np.zeros((BUCKETS, 0)), np.zeros(0))
-    bags = [
-        (np.array(used, dtype=np.int64), np.array(share, dtype=float))
-        for used, share in zip(rows["used"].to_pylist(), rows["share"].to_pylist(), strict=True)
-    ]
+    bags = list(zip(_lists(rows["used"], np.int32), _lists(rows["share"], np.float32), strict=True))
     classes = np.array([languages.index(name) for name in names])
     aside = np.array([i % CALIBRATE_EVERY == 0 for i in range(len(bags))])
     # A language's only rows are better learned than set aside.
