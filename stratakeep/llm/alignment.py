@@ -8,7 +8,9 @@ groups between neighbouring shared ends, and the links, which are the pairs of
 tokens whose byte ranges overlap.
 
 How often an id pair is linked corpus-wide is counted per chunk of documents
-(a few megabytes of text), where every window has a small number. Chunks send
+(a few megabytes of text), where every window has a small number. A unit of
+text keeps the windows that it is cut into, so texts are put together from
+numbers. Chunks send
 each of their distinct pairs once, get its count back, and add up the documents
 from their windows; neither texts nor links are shuffled.
 """
@@ -17,10 +19,10 @@ from __future__ import annotations
 
 import os
 import re
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -37,7 +39,7 @@ from stratakeep.llm.units import CACHE_CHARS, cut
 from stratakeep.sources.tables import stage
 
 # A chunk ends at so many bytes of text; one longer text is a chunk alone.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 8 << 20
 SLICE_ROWS = 256
 # Pairs with more than one in so many links are broadcast; there are no more
 # of them than this number.
@@ -45,14 +47,15 @@ FREQUENT = 200_000
 # An id pair is written as one number: the first id times this, plus the second.
 PAIR = 1 << 15
 # Units and windows kept per Python worker, and the most tokens of a window kept.
-CACHE_UNITS = MEMO_WINDOWS = 500_000
+CACHE_UNITS = MEMO_WINDOWS = 200_000
 MEMO_TOKENS = 64
 # Units that one line holds.
 LINE_UNITS = 1024
 
 _SPACE = "▁"
 
-_NOTHING = np.zeros(0, dtype="<i4")
+# The ids of a window on both sides, 32 bits each.
+Key = tuple[bytes, bytes]
 
 
 @dataclass
@@ -103,7 +106,7 @@ class Encoders:
         # Such a token could reach over a cut between units.
         if any(re.search(r"\S ", (token or b"").decode(errors="replace")) for token in [*of_a, *self.b.bytes_of]):
             raise ValueError("a token of these vocabularies reaches over a space")
-        self._units: dict[str, tuple[bytes, bytes] | None] = {}
+        self._units: dict[str, tuple[Key, ...] | None] = {}
 
     def _encode(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
         """Ids of each text with a space in front; None where the bytes of
@@ -138,32 +141,22 @@ class Encoders:
             sides.append([ids[i:j] for i, j in zip(last, last[1:], strict=False)])
         return list(zip(*sides, strict=True))
 
-    def ids(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Ids of both sides for each whole text, in order; nothing for a text
-        that is empty or whose bytes a side does not give back."""
+    def windows(self, units: list[str]) -> list[tuple[Key, ...] | None]:
+        """The windows of each unit; None where a side does not give its bytes back."""
         if len(self._units) > CACHE_UNITS:
             self._units.clear()
         known = self._units
-        parted = [cut(text) if text else [] for text in texts]
-        new = list({unit for units in parted for unit in units} - known.keys())
-        plain = [unit for unit in new if unit and not unit[0].isspace() and not unit[-1].isspace()]
-        for start in range(0, len(plain), LINE_UNITS):
-            part = plain[start : start + LINE_UNITS]
-            known.update(zip(part, self._encode_line(part), strict=True))
-        odd = [unit for unit in new if unit not in known]
-        if odd:
-            known.update(zip(odd, self._encode(odd), strict=True))
-        out = []
-        for units in parted:
-            found = [known[unit] for unit in units]
-            if not found or None in found:
-                out.append((_NOTHING, _NOTHING))
-            else:
-                a, b = zip(*found, strict=True)
-                out.append((np.frombuffer(b"".join(a), dtype="<i4"), np.frombuffer(b"".join(b), dtype="<i4")))
+        new = [unit for unit in units if unit not in known]
+        plain, odd = [], []
         for unit in new:
-            if len(unit) > CACHE_CHARS:
-                del known[unit]
+            (odd if not unit or unit[0].isspace() or unit[-1].isspace() else plain).append(unit)
+        ids = [x for start in range(0, len(plain), LINE_UNITS) for x in self._encode_line(plain[start : start + LINE_UNITS])]
+        if odd:
+            ids += self._encode(odd)
+        cut_up = iter(windows([sides for sides in ids if sides], (self.a, self.b)))
+        made = dict(zip([*plain, *odd], [sides and next(cut_up) for sides in ids], strict=True))
+        out = [made[unit] if unit in made else known[unit] for unit in units]
+        known.update((unit, found) for unit, found in made.items() if len(unit) <= CACHE_CHARS)
         return out
 
 
@@ -184,68 +177,84 @@ class Memo:
     """Alignments of windows, kept by their two id tuples."""
 
     def __init__(self, vocabularies: tuple[Vocabulary, Vocabulary]) -> None:
-        self._widths = tuple(v.widths.tolist() for v in vocabularies)
-        self._known: dict[tuple[bytes, bytes], Window] = {}
+        self._widths = tuple(v.widths for v in vocabularies)
+        size = self._size = len(self._widths[0])
+        # An id as it is written before a token of its side, before the other
+        # side, before the next group and at the end of a window.
+        written = [f"{i}{mark}" for mark in ",|" for i in range(size)]
+        written += [f"{i}{mark}" for mark in ",;\n" for i in range(len(self._widths[1]))]
+        self._written = np.array(written, dtype=object)
+        self._known: dict[Key, Window] = {}
+
+    def find(self, keys: list[Key]) -> list[Window]:
+        known = self._known
+        new = [key for key in dict.fromkeys(keys) if key not in known]
+        made = dict(zip(new, self.align(new), strict=True)) if new else {}
+        out = [made.get(key) or known[key] for key in keys] if made else [known[key] for key in keys]
+        if len(known) + len(made) > MEMO_WINDOWS:
+            known.clear()
+        known.update((key, window) for key, window in made.items() if len(key[0]) <= 4 * MEMO_TOKENS)
+        return out
 
-    def __getitem__(self, ids: tuple[bytes, bytes]) -> Window:
-        found = self._known.get(ids)
-        if found is None:
-            a, b = (memoryview(side).cast("i").tolist() for side in ids)
-            found = self.align(a, b)
-            if len(a) <= MEMO_TOKENS:
-                if len(self._known) >= MEMO_WINDOWS:
-                    self._known.clear()
-                self._known[ids] = found
-        return found
-
-    def align(self, a: list[int], b: list[int]) -> Window:
-        """Groups and links of ids that cover the same bytes.
-
-        Between two neighbouring ends, of either side, one token of each side
-        covers the bytes; every such stretch is a link of its own.
+    def align(self, keys: list[Key]) -> list[Window]:
+        """Groups and links of windows, whose two sides cover the same bytes.
+
+        The windows are laid end to end. Between two neighbouring ends, of
+        either side, one token of each side covers the bytes: every such stretch
+        is a link of its own.
         """
         width_a, width_b = self._widths
-        pairs, groups = array("i"), []
-        i = j = from_a = from_b = 0
-        end_a, end_b = width_a[a[0]], width_b[b[0]]
-        while True:
-            pairs.append(a[i] * PAIR + b[j])
-            ahead = end_a - end_b
-            if ahead <= 0:
-                i += 1
-            if ahead >= 0:
-                j += 1
-            if not ahead:
-                groups.append(",".join(map(str, a[from_a:i])) + "|" + ",".join(map(str, b[from_b:j])))
-                from_a, from_b = i, j
-                if i == len(a):
-                    break
-            if ahead <= 0:
-                end_a += width_a[a[i]]
-            if ahead >= 0:
-                end_b += width_b[b[j]]
-        return Window(";".join(groups), len(groups), pairs.tobytes())
-
-
-def windows(a: np.ndarray, b: np.ndarray, vocabularies: tuple[Vocabulary, Vocabulary]) -> list[tuple[bytes, bytes]]:
-    """The id tuples, as bytes, between neighbouring anchors of one text."""
-    if not len(a):
+        a, b = (np.frombuffer(b"".join(side), dtype="<i4") for side in zip(*keys, strict=True))
+        ends_a, ends_b = np.cumsum(width_a[a]), np.cumsum(width_b[b])
+        stops_a = np.cumsum([len(side) for side, _ in keys]) // 4 - 1
+        stops_b = np.cumsum([len(side) for _, side in keys]) // 4 - 1
+        ends = np.union1d(ends_a, ends_b)
+        pairs = (a[np.searchsorted(ends_a, ends)] * PAIR + b[np.searchsorted(ends_b, ends)]).astype("<i4").tobytes()
+        links = [0, *((np.searchsorted(ends, ends_a[stops_a]) + 1) * 4).tolist()]
+
+        place = np.searchsorted(ends_b, ends_a)
+        shared_a = ends_b[place] == ends_a
+        shared_b = np.zeros(len(b), dtype=bool)
+        shared_b[place[shared_a]] = True
+        group_a, group_b = np.cumsum(shared_a), np.cumsum(shared_b)
+        counts = np.diff(group_a[stops_a], prepend=0).tolist()
+        # A group is written as its tokens of A, then those of B.
+        done_a, done_b = np.nonzero(shared_a)[0] + 1, np.append(0, np.nonzero(shared_b)[0] + 1)
+        last_b = shared_b.astype(int)
+        last_b[stops_b] = 2
+        order = np.empty(len(a) + len(b), dtype=np.int64)
+        order[np.arange(len(a)) + done_b[group_a - shared_a]] = a + shared_a * self._size
+        order[np.arange(len(b)) + done_a[group_b - shared_b]] = 2 * self._size + b + last_b * len(width_b)
+        texts = "".join(self._written[order].tolist()).split("\n")
+        return [Window(*x, pairs[i:j]) for *x, i, j in zip(texts, counts, links, links[1:], strict=False)]
+
+
+def windows(units: list[tuple[bytes, bytes]], vocabularies: tuple[Vocabulary, Vocabulary]) -> list[tuple[Key, ...]]:
+    """The id tuples, as bytes, between neighbouring anchors of each unit.
+
+    Both sides' ids are those of units laid end to end. Every unit begins with
+    a space, so where one ends is an anchor itself.
+    """
+    if not units:
         return []
+    all_a, all_b = (b"".join(side) for side in zip(*units, strict=True))
+    a, b = (np.frombuffer(side, dtype="<i4") for side in (all_a, all_b))
     ends_a, ends_b = (np.cumsum(v.widths[ids]) for ids, v in zip((a, b), vocabularies, strict=True))
     before_space = np.append(vocabularies[0].spaced[a[1:]], True)
     place = np.searchsorted(ends_b, ends_a)
     anchors = np.nonzero(before_space & (ends_b[place] == ends_a))[0]
     stops_a, stops_b = ((anchors + 1) * 4).tolist(), ((place[anchors] + 1) * 4).tolist()
-    all_a, all_b = a.tobytes(), b.tobytes()
-    return [
-        (all_a[i:j], all_b[k:m])
-        for i, j, k, m in zip([0, *stops_a], stops_a, [0, *stops_b], stops_b, strict=False)
-    ]
+    cut_at = zip([0, *stops_a], stops_a, [0, *stops_b], stops_b, strict=False)
+    found = [(all_a[i:j], all_b[k:m]) for i, j, k, m in cut_at]
+    if len(found) == len(units):
+        return [(key,) for key in found]
+    last = np.searchsorted(stops_a, np.cumsum([len(ids) for ids, _ in units])) + 1
+    return [tuple(found[i:j]) for i, j in zip([0, *last.tolist()], last.tolist(), strict=False)]
 
 
 _FIELDS = (
     "chunk long, row int, n_a long, n_b long, n_groups long, windows array<int>, "
-    "pairs array<int>, uses array<long>, window_pairs array<int>, window_sizes array<int>, texts array<string>"
+    "pairs array<int>, uses array<long>, window_pairs array<int>, window_sizes array<int>, texts string"
 )
 
 
@@ -260,15 +269,18 @@ def _chunked(docs: DataFrame, path_a: str, path_b: str, doc_id: str, text: str)
         vocabularies = (both.a, both.b)
         memo = Memo(vocabularies)
         number, held, rows = TaskContext.get().partitionId() << 32, 0, 0
-        numbers: dict[tuple[bytes, bytes], int] = {}
+        numbers: dict[Key, int] = {}
+        places: dict[str, tuple[int, ...] | None] = {}
         found: list[Window] = []
-        used: list[int] = []
+        shape = np.zeros((0, 3), dtype=np.int64)
+        used: list[np.ndarray] = []
 
         def close() -> pa.RecordBatch:
             sizes = np.array([len(one.pairs) // 4 for one in found], dtype=np.int32)
             flat = np.frombuffer(b"".join([one.pairs for one in found]), dtype="<i4")
             pairs, at = np.unique(flat, return_inverse=True)
-            uses = np.bincount(at, weights=np.repeat(np.array(used, dtype=float), sizes), minlength=len(pairs))
+            times = np.bincount(np.concatenate(used), minlength=len(found))
+            uses = np.bincount(at, weights=np.repeat(times.astype(float), sizes), minlength=len(pairs))
             blank = [None]
             columns = [
                 pa.array(blank, id_of),
@@ -278,7 +290,7 @@ def _chunked(docs: DataFrame, path_a: str, path_b: str, doc_id: str, text: str)
                 pa.array([uses.astype(np.int64)], pa.list_(pa.int64())),
                 pa.array([at.astype(np.int32)], pa.list_(pa.int32())),
                 pa.array([sizes], pa.list_(pa.int32())),
-                pa.array([[one.groups for one in found]], pa.list_(pa.string())),
+                pa.array(["\n".join([one.groups for one in found])], pa.string()),
             ]
             return pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -292,23 +304,26 @@ def _chunked(docs: DataFrame, path_a: str, path_b: str, doc_id: str, text: str)
                 while stop < len(texts) and held < CHUNK_BYTES:
                     held += len(texts[stop])
                     stop += 1
-                counts, lists = [], []
-                for a, b in both.ids(texts[start:stop]):
-                    places = []
-                    for ids in windows(a, b, vocabularies):
-                        place = numbers.get(ids)
-                        if place is None:
-                            place = numbers[ids] = len(found)
-                            found.append(memo[ids])
-                            used.append(0)
-                        places.append(place)
-                        used[place] += 1
-                    counts.append((len(a), len(b), sum([found[place].n_groups for place in places])))
-                    lists.append(places)
+                parted = [cut(text) if text else [] for text in texts[start:stop]]
+                units = [unit for unit in dict.fromkeys(chain.from_iterable(parted)) if unit not in places]
+                keys = both.windows(units)
+                new = [key for key in dict.fromkeys(chain.from_iterable(filter(None, keys))) if key not in numbers]
+                numbers.update(zip(new, range(len(found), len(found) + len(new)), strict=True))
+                places.update((unit, of and tuple([numbers[key] for key in of])) for unit, of in zip(units, keys, strict=True))
+                aligned_new = memo.find(new)
+                found += aligned_new
+                sizes = [(len(a) // 4, len(b) // 4, x.n_groups) for (a, b), x in zip(new, aligned_new, strict=True)]
+                shape = np.concatenate([shape, np.array(sizes, dtype=np.int64).reshape(-1, 3)])
+                lists = []
+                for of in parted:
+                    got = [places[unit] for unit in of]
+                    lists.append([] if None in got else list(chain.from_iterable(got)))
                 n = stop - start
-                n_a, n_b, n_groups = (pa.array(x, pa.int64()) for x in zip(*counts, strict=True))
                 ends = np.cumsum([0, *map(len, lists)])
-                flat = np.array([place for places in lists for place in places], dtype=np.int32)
+                flat = np.fromiter(chain.from_iterable(lists), dtype=np.int32, count=ends[-1])
+                sums = np.concatenate([np.zeros((1, 3), dtype=np.int64), np.cumsum(shape[flat], axis=0)])[ends]
+                n_a, n_b, n_groups = (pa.array(x) for x in (sums[1:] - sums[:-1]).T.copy())
+                used.append(flat)
                 columns = [
                     batch.column(0).slice(start, n),
                     pa.array(np.full(n, number)),
@@ -317,14 +332,14 @@ def _chunked(docs: DataFrame, path_a: str, path_b: str, doc_id: str, text: str)
                     n_b,
                     n_groups,
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
-                    *[pa.nulls(n, pa.list_(kind)) for kind in (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.string())],
+                    *[pa.nulls(n, kind) for kind in (pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.string())],
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
                 rows, start = rows + n, stop
                 if held >= CHUNK_BYTES:
                     yield close()
                     number, held, rows = number + 1, 0, 0
-                    numbers, found, used = {}, [], []
+                    numbers, places, found, used, shape = {}, {}, [], [], shape[:0]
         if rows:
             yield close()
 
@@ -376,23 +391,23 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", t
     answered = answered.select(F.col("chunk").alias("of"), "at", "x.n", "x.best")
 
     def add_up(left: pa.Table, right: pa.Table) -> pa.Table:
-        given = left.filter(pa.compute.is_null(left["row"])).to_pylist()[0]
+        given = left.filter(pa.compute.is_null(left["row"]))
         rows = left.filter(pa.compute.is_valid(left["row"]))
         order = np.argsort(right["at"].to_numpy())
         n = right["n"].to_numpy()[order]
         best = right["best"].to_numpy(zero_copy_only=False)[order].astype(np.int64)
-        sizes = np.array(given["window_sizes"], dtype=np.int64)
-        starts = np.cumsum(sizes) - sizes
-        at = np.array(given["window_pairs"], dtype=np.int64)
+        sizes, at = (given[x].combine_chunks().flatten().to_numpy() for x in ("window_sizes", "window_pairs"))
+        texts = given["texts"][0].as_py().split("\n")
+        starts = np.cumsum(sizes, dtype=np.int64) - sizes
         sums = np.add.reduceat(n[at], starts) if len(at) else n
         bests = np.add.reduceat(best[at], starts) if len(at) else best
-        texts = given["texts"]
-        n_best, count_sum, groups = [], [], []
-        for places in rows["windows"].to_pylist():
-            places = np.array(places, dtype=np.int64)
-            n_best.append(int(bests[places].sum()))
-            count_sum.append(int(sums[places].sum()))
-            groups.append(";".join([texts[place] for place in places.tolist()]))
+        used = rows["windows"].combine_chunks()
+        ends = np.cumsum(np.append(0, used.value_lengths().to_numpy()))
+        places = used.flatten().to_numpy()
+        n_best, count_sum = (np.append(0, np.cumsum(x[places])) for x in (bests, sums))
+        n_best, count_sum = (x[ends[1:]] - x[ends[:-1]] for x in (n_best, count_sum))
+        words = [texts[place] for place in places.tolist()]
+        groups = [";".join(words[i:j]) for i, j in zip(ends.tolist(), ends[1:].tolist(), strict=False)]
         n_links = pa.compute.subtract(pa.compute.add(rows["n_a"], rows["n_b"]), rows["n_groups"])
         return pa.table(
             {
