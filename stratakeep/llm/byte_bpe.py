@@ -24,6 +24,7 @@ from stratakeep.llm.batches import SLICE_ROWS, map_texts
 from stratakeep.llm.units import CACHE_UNITS, UnitCache, cut
 
 FIELDS = "ids array<int>, starts array<int>, ends array<int>, round_trip boolean"
+DECODED = "decoded binary"
 
 
 @cache
@@ -88,13 +89,18 @@ def _table(ranks: dict[bytes, int]) -> np.ndarray:
     return table
 
 
-def encode(docs: DataFrame, path: str, pattern: str, carried: list[str], text: str = "text") -> DataFrame:
+def encode(
+    docs: DataFrame, path: str, pattern: str, carried: list[str], text: str = "text", decoded: bool = False
+) -> DataFrame:
     """``carried`` columns with ``ids, starts, ends, round_trip`` of the whole text.
 
-    ``round_trip`` tells that the bytes of the ids, joined, are those of the text.
+    ``round_trip`` tells that the bytes of the ids, joined, are those of the text;
+    with ``decoded`` these bytes are a column, too, made in the same pass.
     ``starts`` and ``ends`` are offsets in characters, end exclusive; tokens
     that share a character have overlapping offsets. A null or empty text has
-    empty lists. Special strings are ordinary text.
+    empty lists and no bytes. Special strings are ordinary text. Repeated rows are
+    rows like any other, an empty table gives an empty result, and a carried column
+    with the name of a new one is left out.
     """
 
     def start():
@@ -122,18 +128,17 @@ def encode(docs: DataFrame, path: str, pattern: str, carried: list[str], text: s
 
         table = _table(ranks)
 
-        def same(text: str, ids: bytes) -> bool:
-            return b"".join(table[np.frombuffer(ids, dtype="<i4")]) == text.encode()
-
         def make(texts: list[str]) -> list[pa.Array]:
             ids = [b"".join(found) for found in kept.values([cut(x) for x in texts])]
             places = [offsets(*x) for x in zip(texts, ids, strict=True)]
-            checked = pa.array([same(*x) for x in zip(texts, ids, strict=True)], pa.bool_())
-            return [_lists(ids), _lists([first for first, _ in places]), _lists([last for _, last in places]), checked]
+            back = [b"".join(table[np.frombuffer(x, dtype="<i4")].tolist()) for x in ids]
+            same = pa.array([x == text.encode() for x, text in zip(back, texts, strict=True)], pa.bool_())
+            made = [_lists(ids), _lists([first for first, _ in places]), _lists([last for _, last in places]), same]
+            return [*made, pa.array(back, pa.binary())] if decoded else made
 
         return make
 
-    return map_texts(docs, carried, text, FIELDS, start)
+    return map_texts(docs, carried, text, f"{FIELDS}, {DECODED}" if decoded else FIELDS, start)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:

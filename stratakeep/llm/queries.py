@@ -40,15 +40,16 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token ids of all documents and what they decode to, as digests."""
+    """Token ids of all documents, their offsets and what they decode to, as digests."""
     docs = _table(spark, sf_dir, "documents")
-    encoded = byte_bpe.encode(docs, MULTI_RANKS, public_tokenizers.PATTERN, ["doc_id"])
-    decoded = byte_bpe.decode(encoded, MULTI_RANKS)
-    return decoded.select(
+    encoded = byte_bpe.encode(docs, MULTI_RANKS, public_tokenizers.PATTERN, ["doc_id"], decoded=True)
+    return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.xxhash64("starts", "ends").alias("offsets_hash"),
+        "round_trip",
     )
 
 

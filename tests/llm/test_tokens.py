@@ -31,9 +31,11 @@ def library() -> tiktoken.Encoding:
 
 def test_ids_offsets_and_round_trip(spark, odd_texts, library):
     table = spark.createDataFrame(list(enumerate(odd_texts)), "doc_id long, text string")
-    encoded = byte_bpe.encode(table, MULTI_RANKS, public_tokenizers.PATTERN, ["doc_id", "text"])
-    for row in byte_bpe.decode(encoded, MULTI_RANKS).collect():
+    encoded = byte_bpe.encode(table, MULTI_RANKS, public_tokenizers.PATTERN, ["doc_id", "text"], decoded=True)
+    at_once = encoded.withColumnRenamed("decoded", "at_once")
+    for row in byte_bpe.decode(at_once, MULTI_RANKS).collect():
         text = row["text"]
+        assert row["round_trip"] and row["at_once"] == row["decoded"]
         assert row["ids"] == library.encode_ordinary(text)
         assert bytes(row["decoded"]) == text.encode()
         places = [len(text.encode()[:0])]
