@@ -28,6 +28,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +40,7 @@ from stratakeep.llm.units import CACHE_CHARS, cut
 from stratakeep.sources.tables import stage
 
 # A chunk ends at so many bytes of text; one longer text is a chunk alone.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 6 << 20
 SLICE_ROWS = 256
 # Pairs with more than one in so many links are broadcast; there are no more
 # of them than this number.
@@ -47,7 +48,7 @@ FREQUENT = 200_000
 # An id pair is written as one number: the first id times this, plus the second.
 PAIR = 1 << 15
 # Units and windows kept per Python worker, and the most tokens of a window kept.
-CACHE_UNITS = MEMO_WINDOWS = 200_000
+CACHE_UNITS = MEMO_WINDOWS = 150_000
 MEMO_TOKENS = 64
 # Units that one line holds.
 LINE_UNITS = 1024
@@ -254,20 +255,21 @@ def windows(units: list[tuple[bytes, bytes]], vocabularies: tuple[Vocabulary, Vo
 
 _FIELDS = (
     "chunk long, row int, n_a long, n_b long, n_groups long, windows array<int>, "
-    "pairs array<int>, uses array<long>, window_pairs array<int>, window_sizes array<int>, texts string"
+    "pairs array<int>, uses array<long>, window_pairs binary, window_sizes binary, texts binary"
 )
 
 
 def _chunked(docs: DataFrame, path_a: str, path_b: str, doc_id: str, text: str) -> DataFrame:
     """A row per document with the numbers of its windows, and a last row per
-    chunk, with a null ``row``, that says what the windows are."""
+    chunk, with a null ``row``, that says what the windows are. What is sent on
+    per window (numbers of its pairs, how many they are, its groups) is packed."""
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     id_type = source.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = encoders(path_a, path_b)
         vocabularies = (both.a, both.b)
-        memo = Memo(vocabularies)
+        memo, packer = Memo(vocabularies), zstandard.ZstdCompressor(level=1)
         number, held, rows = TaskContext.get().partitionId() << 32, 0, 0
         numbers: dict[Key, int] = {}
         places: dict[str, tuple[int, ...] | None] = {}
@@ -276,11 +278,12 @@ def _chunked(docs: DataFrame, path_a: str, path_b: str, doc_id: str, text: str)
         used: list[np.ndarray] = []
 
         def close() -> pa.RecordBatch:
-            sizes = np.array([len(one.pairs) // 4 for one in found], dtype=np.int32)
+            sizes = np.array([len(one.pairs) // 4 for one in found], dtype="<i4")
             flat = np.frombuffer(b"".join([one.pairs for one in found]), dtype="<i4")
             pairs, at = np.unique(flat, return_inverse=True)
             times = np.bincount(np.concatenate(used), minlength=len(found))
             uses = np.bincount(at, weights=np.repeat(times.astype(float), sizes), minlength=len(pairs))
+            texts = "\n".join([one.groups for one in found]).encode()
             blank = [None]
             columns = [
                 pa.array(blank, id_of),
@@ -288,9 +291,7 @@ def _chunked(docs: DataFrame, path_a: str, path_b: str, doc_id: str, text: str)
                 *[pa.array(blank, kind) for kind in (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()))],
                 pa.array([pairs], pa.list_(pa.int32())),
                 pa.array([uses.astype(np.int64)], pa.list_(pa.int64())),
-                pa.array([at.astype(np.int32)], pa.list_(pa.int32())),
-                pa.array([sizes], pa.list_(pa.int32())),
-                pa.array(["\n".join([one.groups for one in found])], pa.string()),
+                *[pa.array([packer.compress(x)], pa.binary()) for x in (at.astype("<i4").tobytes(), sizes.tobytes(), texts)],
             ]
             return pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -332,7 +333,7 @@ def _chunked(docs: DataFrame, path_a: str, path_b: str, doc_id: str, text: str)
                     n_b,
                     n_groups,
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
-                    *[pa.nulls(n, kind) for kind in (pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.string())],
+                    *[pa.nulls(n, kind) for kind in (pa.list_(pa.int32()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary())],
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
                 rows, start = rows + n, stop
@@ -396,8 +397,9 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", t
         order = np.argsort(right["at"].to_numpy())
         n = right["n"].to_numpy()[order]
         best = right["best"].to_numpy(zero_copy_only=False)[order].astype(np.int64)
-        sizes, at = (given[x].combine_chunks().flatten().to_numpy() for x in ("window_sizes", "window_pairs"))
-        texts = given["texts"][0].as_py().split("\n")
+        unpack = zstandard.ZstdDecompressor().decompress
+        at, sizes, texts = (unpack(given[x][0].as_py()) for x in ("window_pairs", "window_sizes", "texts"))
+        at, sizes, texts = np.frombuffer(at, dtype="<i4"), np.frombuffer(sizes, dtype="<i4"), texts.decode().split("\n")
         starts = np.cumsum(sizes, dtype=np.int64) - sizes
         sums = np.add.reduceat(n[at], starts) if len(at) else n
         bests = np.add.reduceat(best[at], starts) if len(at) else best
