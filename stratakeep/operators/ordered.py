@@ -32,6 +32,10 @@ MAX_ROWS_PER_TASK = 1_000_000
 BROADCAST_PIECES = 1_000_000
 # Sampled rows wanted per piece, so that piece sizes are near the target.
 SAMPLES_PER_PIECE = 100
+# Sampled rows of one key that a single task sorts, and how many of those that
+# stand for a piece are kept when a key has more.
+SORTED_SAMPLES = 1_000_000
+KEPT_PER_PIECE = 4
 # Into how many groups rows are spread that need no partner in a join.
 SPREAD = 100_000
 
@@ -81,6 +85,22 @@ class Cuts:
         return F.struct(*[F.col(name) for name in self.order])
 
 
+def _thinned(sample: DataFrame, keys: Sequence[str], every: int, least: int, small: bool) -> DataFrame:
+    """Every ``every``-th sampled row, in order, of keys with ``least`` rows or more.
+
+    A key's rows are dealt at random into parts of at most about
+    ``SORTED_SAMPLES``, and each part is sorted by a task of its own. The rows a
+    part keeps are a summary of its quantiles; those of all parts together
+    are one of the key, so only these are sorted in one place. Null keys are left out.
+    """
+    sizes = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") >= least)
+    sizes = F.broadcast(sizes) if small else sizes
+    part = F.floor(F.rand(20) * F.ceil(F.col("_rows") / SORTED_SAMPLES))
+    in_part = Window.partitionBy(*keys, "_part").orderBy(_AT)
+    dealt = sample.join(sizes, list(keys)).withColumn("_part", part).withColumn("_n", F.row_number().over(in_part))
+    return dealt.where(F.col("_n") % every == 0).select(*keys, _AT)
+
+
 def find_cuts(
     df: DataFrame,
     keys: Sequence[str],
@@ -100,7 +120,8 @@ def find_cuts(
 
     A table of at most ``max_rows`` rows needs no second look. Otherwise a
     sample of about ``SAMPLES_PER_PIECE`` rows per ``max_rows`` is taken, and
-    every hundredth or so of a key's sampled rows, in order, is a cut point. The points are
+    every hundredth or so of a key's sampled rows, in order, is a cut point; a sample that is
+    large itself is sorted and thinned in parts first. The points are
     written to the shared folder, since all passes over the data must see the
     same ones; the driver gets only their number.
     """
@@ -113,14 +134,13 @@ def find_cuts(
     fraction = min(1.0, SAMPLES_PER_PIECE / max_rows)
     step = max(1, int(max_rows * fraction))
     in_key = Window.partitionBy(*keys).orderBy(_AT)
-    picked = stage(
-        df.select(*keys, plain.at().alias(_AT))
-        .sample(fraction=fraction, seed=20)
-        .withColumn("_n", F.row_number().over(in_key))
-        .where(F.col("_n") % step == 0)
-        .drop("_n"),
-        "cut-points",
-    )
+    sample = df.select(*keys, plain.at().alias(_AT)).sample(fraction=fraction, seed=20)
+    if rows * fraction > SORTED_SAMPLES:
+        every = max(1, step // KEPT_PER_PIECE)
+        sample = _thinned(stage(sample, "cut-sample"), keys, every, step, rows / max_rows <= BROADCAST_PIECES)
+        step = max(1, step // every)
+    numbered = sample.withColumn("_n", F.row_number().over(in_key))
+    picked = stage(numbered.where(F.col("_n") % step == 0).drop("_n"), "cut-points")
     per_key = picked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_points"), F.count_distinct(_AT).alias("_distinct"))
     found = per_key.agg(
         F.sum("_points").alias("all"), F.max("_points").alias("most"), F.max(F.col("_points") > F.col("_distinct")).alias("copies")

@@ -162,3 +162,30 @@ def test_cut_window_equals_plain_window(spark, items, max_rows):
         got = shifted(df, cut, {"near": "v"}).collect()
         want = shifted(df, plain, {"near": "v"}).collect()
         assert sorted((r.i, str(r.near)) for r in got) == sorted((r.i, str(r.near)) for r in want)
+
+
+def test_a_large_sample_is_sorted_in_parts(spark, monkeypatch):
+    """Several tasks summarise the hot key; cuts are as good and results the same."""
+    from stratakeep.operators import ordered
+
+    sorted_parts = []
+    thinned = ordered._thinned
+
+    def watched(sample, *settings):
+        kept = thinned(sample, *settings)
+        hot = sample.where("k = 'hot'").count()
+        sorted_parts.append((hot, kept.where("k = 'hot'").count()))
+        assert "hashpartitioning(k#" in kept._jdf.queryExecution().toString() and "_part#" in kept._jdf.queryExecution().toString()
+        return kept
+
+    monkeypatch.setattr(ordered, "_thinned", watched)
+    monkeypatch.setattr(ordered, "SORTED_SAMPLES", 2_000)
+    df = spark.range(200_000).selectExpr("case when id % 3 = 0 then 'hot' when id % 7 = 0 then null else cast(id as string) end as k", "id as at", "id % 11 as v")
+    cuts = find_cuts(df, ["k"], ["at"], max_rows=1_000)
+    (sampled, kept), = sorted_parts
+    assert sampled > 3 * 2_000 and kept < sampled / 10
+    sizes = [r["count"] for r in ordered.with_piece(df.where("k = 'hot'"), cuts).groupBy("_piece").count().collect()]
+    assert sum(sizes) == 66_667 and 50 <= len(sizes) <= 90 and max(sizes) < 3_000
+    got = previous_values(df, cuts, {"before": "v"}).where("k = 'hot'").orderBy("at").collect()
+    assert [r["before"] for r in got] == [None, *[r["v"] for r in got[:-1]]]
+    assert len(got) == 66_667
