@@ -86,6 +86,7 @@ def mix(
     sample. Rows with the same id (null is an id, too) get the same count. Rows are
     dealt to partitions by the hash of a random key and sorted by it there,
     which is a random order of all rows with one shuffle and no hot partition.
+    Rows without an id share a key and are dealt by their content as well.
     An empty table gives an empty result.
     """
     table = rates(docs, weights, temperature, size, source)
@@ -105,10 +106,11 @@ def mix(
 
     count = F.aggregate(F.sequence(F.lit(0), F.col("_parts") - 1), F.lit(0), lambda total, part: total + draw(part))
     repeated = joined.withColumn("_count", count).where("_count > 0")
+    content = F.when(F.col(doc_id).isNull(), F.xxhash64(F.to_json(F.struct(*kept))))
     return (
         repeated.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_count"))))
         .withColumn("shuffle_key", _hashed(F.lit(f"{seed}:order"), F.col(doc_id), F.col("copy")))
         .select(*kept, "copy", "shuffle_key")
-        .repartition("shuffle_key", "copy")
+        .repartition("shuffle_key", "copy", content)
         .sortWithinPartitions("shuffle_key")
     )

@@ -60,3 +60,16 @@ def test_odd_rows(edge_docs, empty_docs):
     counts = mixed.where("doc_id = 2").groupBy("copy").count().collect()
     assert all(row["count"] == 2 for row in counts)
     assert mixing.mix(empty_docs).count() == 0
+
+
+def test_rows_without_an_id_are_spread(spark):
+    docs = spark.range(4000).selectExpr("cast(null as long) as doc_id", "concat('text ', id) as text", "'a' as source")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        mixed = mixing.mix(docs, size=40_000)
+        sizes = [row["count"] for row in mixed.groupBy(F.spark_partition_id()).count().collect()]
+        per_text = mixed.groupBy("text").count().select("count").distinct().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) > 1 and max(sizes) < 0.5 * sum(sizes)
+    assert len(per_text) == 1 and sum(sizes) == 4000 * per_text[0]["count"]
