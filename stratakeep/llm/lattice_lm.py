@@ -41,9 +41,9 @@ FREQUENT_BYTES = 64
 # Distinct words counted in memory before they are passed on.
 HELD_WORDS = 300_000
 CACHED_WORDS = 300_000
-# Up to this length the product of a word's probabilities stays in the range of
-# a double, so that expectations need no logarithms.
-PLAIN_LENGTH = 32
+# Words up to this length, and no less probable than this, have expectations
+# whose products stay in the range of a double.
+PLAIN_LENGTH, LEAST_CHANCE = 32, 1e-200
 # The sign that begins a word in the vocabulary (fixed value).
 BEGIN = "▁"
 _LN10 = math.log(10)
@@ -80,7 +80,11 @@ def pieces_of(path: str) -> Pieces:
 
 
 class Lattice:
-    """All segmentations of words, weighted by piece log probabilities."""
+    """All segmentations of words, weighted by piece log probabilities.
+
+    What belongs to a prefix does not depend on what follows. The values along
+    the last word are kept, so words in order share those of common prefixes.
+    """
 
     def __init__(self, pieces: Pieces, weights: np.ndarray) -> None:
         self._pieces = pieces
@@ -90,50 +94,79 @@ class Lattice:
         for name in pieces.ids:
             lengths.setdefault(name[-2:], set()).add(len(name))
         self._lengths = {tail: sorted(found) for tail, found in lengths.items()}
-        self._forward: dict[str, float] = {"": 0.0}
+        self._single = {name for name in pieces.ids if len(name) == 1}
+        self._last, self._forward = "", [0.0]
 
-    def _ending(self, word: str, end: int) -> Iterator[tuple[int, float, tuple[int, ...]]]:
-        """Arcs that end at a place: where they start, weight, piece ids."""
-        ids, weights = self._pieces.ids, self._weights
+    def _pieces_ending(self, word: str, end: int) -> list[tuple[int, int]]:
+        """Where the pieces that end at a place start, and their ids."""
+        ids = self._pieces.ids
         lengths = self._lengths.get(word[end - 1 : end], ())
-        for length in lengths if end == 1 else (*lengths, *self._lengths.get(word[end - 2 : end], ())):
-            if length <= end:
-                found = ids.get(word[end - length : end])
-                if found is not None:
-                    yield end - length, weights[found], (found,)
-        if word[end - 1] not in ids:
+        if end > 1:
+            lengths = (*lengths, *self._lengths.get(word[end - 2 : end], ()))
+        return [(end - length, ids[word[end - length : end]]) for length in lengths if length <= end and word[end - length : end] in ids]
+
+    def _ending(self, word: str, end: int) -> list[tuple[int, float, tuple[int, ...]]]:
+        """Arcs that end at a place: where they start, weight, piece ids."""
+        weights = self._weights
+        arcs = [(start, weights[found], (found,)) for start, found in self._pieces_ending(word, end)]
+        if word[end - 1] not in self._single:
             spelled = tuple(self._pieces.byte_ids[byte] for byte in word[end - 1].encode())
-            yield end - 1, sum(weights[i] for i in spelled), spelled
+            arcs.append((end - 1, sum(weights[i] for i in spelled), spelled))
+        return arcs
 
     def log_probability(self, word: str) -> float:
-        """Natural logarithm of the sum over all segmentations.
+        """Natural logarithm of the sum over all segmentations."""
+        whole, values = BEGIN + word, self._forward
+        shared = _common(whole, self._last)
+        del values[shared + 1 :]
+        for end in range(shared + 1, len(whole) + 1):
+            values.append(_log_sum([values[start] + weight for start, weight, _ in self._ending(whole, end)]))
+        self._last = whole
+        return values[-1]
+
+    def add_expected(self, words: list[str], times: list[int], totals: list[float]) -> None:
+        """Add the expected number of each piece in words seen ``times``.
 
-        The forward value of a prefix does not depend on what follows, so
-        short prefixes are kept for other words.
+        Words in order are walked as one tree. A place in it is passed forward
+        once, and backward once with the sum over all words below it, when the
+        walk leaves it. Words that are long, improbable or have characters
+        spelled in bytes go by logarithms, one by one.
         """
-        whole = BEGIN + word
-        forward = self._forward
-        if len(forward) > CACHED_WORDS * 2:
-            forward.clear()
-        kept = len(whole) <= 64
-        values = [0.0]
-        for end in range(1, len(whole) + 1):
-            value = forward.get(whole[:end]) if kept else None
-            if value is None:
-                value = _log_sum([values[start] + weight for start, weight, _ in self._ending(whole, end)])
-                if kept:
-                    forward[whole[:end]] = value
-            values.append(value)
-        return values[-1]
+        chances = self._chances
+        last, forward, behind = "", [1.0], [0.0]
+        arcs: list[list[tuple[int, int]]] = [[]]
+
+        def leave(depth: int) -> None:
+            while len(forward) > depth + 1:
+                forward.pop()
+                below = behind.pop()
+                for start, found in arcs.pop():
+                    through = chances[found] * below
+                    totals[found] += forward[start] * through
+                    behind[start] += through
+
+        for word, n in zip(words, times, strict=True):
+            whole = BEGIN + word
+            if len(whole) > PLAIN_LENGTH or not self._single.issuperset(whole):
+                self._add_by_logarithms(whole, n, totals)
+                continue
+            shared = _common(whole, last)
+            leave(shared)
+            for end in range(shared + 1, len(whole) + 1):
+                ending = self._pieces_ending(whole, end)
+                arcs.append(ending)
+                forward.append(sum([forward[start] * chances[found] for start, found in ending]))
+                behind.append(0.0)
+            last = whole
+            if forward[-1] < LEAST_CHANCE:
+                self._add_by_logarithms(whole, n, totals)
+            else:
+                behind[-1] += n / forward[-1]
+        leave(0)
 
-    def add_expected(self, word: str, times: float, totals: list[float]) -> None:
-        """Add the expected number of each piece in a word seen ``times``."""
-        whole = BEGIN + word
+    def _add_by_logarithms(self, whole: str, times: float, totals: list[float]) -> None:
         size = len(whole)
-        arcs = [list(self._ending(whole, end)) for end in range(1, size + 1)]
-        if size <= PLAIN_LENGTH and all(len(found) == 1 for ending in arcs for *_, found in ending):
-            self._add_plain(arcs, times, totals)
-            return
+        arcs = [self._ending(whole, end) for end in range(1, size + 1)]
         forward, backward = [0.0] * (size + 1), [-math.inf] * (size + 1)
         for end, ending in enumerate(arcs, 1):
             forward[end] = _log_sum([forward[start] + weight for start, weight, _ in ending])
@@ -146,22 +179,15 @@ class Lattice:
                     totals[piece] += share
                 backward[start] = _log_sum([backward[start], through])
 
-    def _add_plain(self, arcs: list[list[tuple[int, float, tuple[int, ...]]]], times: float, totals: list[float]) -> None:
-        chances = self._chances
-        forward = [1.0]
-        for ending in arcs:
-            value = 0.0
-            for start, _, found in ending:
-                value += forward[start] * chances[found[0]]
-            forward.append(value)
-        backward = [0.0] * len(forward)
-        backward[-1] = times / forward[-1]
-        for end in range(len(arcs), 0, -1):
-            behind = backward[end]
-            for start, _, found in arcs[end - 1]:
-                through = chances[found[0]] * behind
-                totals[found[0]] += forward[start] * through
-                backward[start] += through
+
+def _common(word: str, other: str) -> int:
+    """Number of leading characters that two words share."""
+    if other.startswith(word):
+        return len(word)
+    for at, (a, b) in enumerate(zip(word, other, strict=False)):
+        if a != b:
+            return at
+    return len(other)
 
 
 def _log_sum(values: list[float]) -> float:
@@ -221,7 +247,7 @@ def _piece_counts(vocabulary: DataFrame, path: str, weights: np.ndarray | None)
         totals = np.zeros(pieces_of(path).size)
         expected = [0.0] * len(totals)
         lattice = None if weights is None else Lattice(pieces_of(path), weights)
-        for part in slices(batches, 4096):
+        for part in slices(batches, 16_384):
             words, times = part.column(0).to_pylist(), part.column(1).to_pylist()
             if lattice is None:
                 found = _processor(path).encode(words, num_threads=1)
@@ -229,8 +255,7 @@ def _piece_counts(vocabulary: DataFrame, path: str, weights: np.ndarray | None)
                 flat = np.fromiter((i for ids in found for i in ids), dtype=np.int64, count=int(counts.sum()))
                 totals += np.bincount(flat, weights=np.repeat(times, counts), minlength=len(totals))
             else:
-                for word, n in zip(words, times, strict=True):
-                    lattice.add_expected(word, n, expected)
+                lattice.add_expected(words, times, expected)
         totals += expected
         used = np.nonzero(totals)[0]
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(totals[used])], ["piece", "n"])
@@ -248,7 +273,8 @@ def train(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
     document without an id is training. Null texts count as empty.
     """
     texts = docs.where(F.coalesce(remainder(F.col(doc_id), MODULUS) != HELD_OUT, F.lit(True))).select(F.coalesce(text, F.lit("")).alias("text"))
-    vocabulary = stage(_counted(texts), "vocabulary")
+    # In order, so that neighbours share prefixes.
+    vocabulary = stage(_counted(texts).sortWithinPartitions("word"), "vocabulary")
     sums = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("words")).first()
     train_docs = texts.count()
 

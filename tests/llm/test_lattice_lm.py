@@ -46,11 +46,26 @@ def test_lattice_against_all_segmentations(model, word):
     total, expected = brute(model, word)
     assert abs(lattice.log_probability(word) - math.log(total)) < 1e-9
     sums = np.zeros(len(model.weights))
-    lattice.add_expected(word, 2.0, sums)
+    lattice.add_expected([word], [2], sums)
     assert set(np.nonzero(sums)[0]) == set(expected)
     assert all(abs(sums[i] - 2 * n) < 1e-9 for i, n in expected.items())
 
 
+def test_words_that_share_prefixes_are_as_words_alone(model):
+    words = ["a", "the", "then", "thonorin", "then", "them", "x" * 40, "thé", "th", "the", "龘" * 31, "", "the"]
+    lattice = lattice_lm.Lattice(lattice_lm.pieces_of(PIECES), model.weights)
+    alone = [lattice_lm.Lattice(lattice_lm.pieces_of(PIECES), model.weights).log_probability(w) for w in words]
+    assert [lattice.log_probability(w) for w in words] == alone
+    for some in (words, sorted(words)):
+        times = list(range(1, len(some) + 1))
+        together, summed, logs = (np.zeros(len(model.weights)) for _ in range(3))
+        lattice.add_expected(some, times, together)
+        for word, n in zip(some, times, strict=True):
+            lattice.add_expected([word], [n], summed)
+            lattice._add_by_logarithms(lattice_lm.BEGIN + word, n, logs)
+        assert np.allclose(together, summed, rtol=1e-9, atol=1e-12) and np.allclose(together, logs, rtol=1e-9, atol=1e-12)
+
+
 def test_probabilities_sum_to_one_and_improve(documents, model):
     assert abs(np.exp(model.weights).sum() + math.exp(model.end) - 1) < 1e-9
     first = lattice_lm.train(documents, PIECES, rounds=0)
