@@ -1,10 +1,17 @@
 """Quality rules whose thresholds follow each language and source.
 
-Every signal of a document is a whole number. A group's values are kept as a
-quantile sketch: counts per bin, where a bin holds values that agree in their
-leading six bits, so a quantile is off by a thirty-second at most. Sketches
-merge by adding counts: Spark combines them before it shuffles, and those of a
-language or of all documents are sums of those of its sources.
+A signal is a number of events in a document of some size, such as symbols
+among words. A group's rates are kept as a quantile sketch: counts per bin,
+where a bin holds whole numbers that agree in their leading six bits, so a
+quantile is off by a thirty-second at most. Sketches merge by adding counts:
+Spark combines them before it shuffles, and those of a language or of all
+documents are sums of those of its sources.
+
+A group's limits come from its own sketch to which its language's is added with
+the weight of ``PRIOR`` documents, and to that in the same way the sketch of
+all. So the fewer documents a group has, the more it follows the others,
+without a switch. A limit is a rate; a document exceeds it when it has more
+events than chance would give at that rate in a document of its size.
 """
 
 from __future__ import annotations
@@ -23,31 +30,52 @@ MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 # Values that agree in so many leading bits share a bin.
 PRECISION_BITS = 6
-# A smaller group uses its language's sketch, a smaller language that of all.
-MIN_DOCS = 200
-# How many spreads between the quartiles a fence lies outside of them.
-REACH = 4
+# Documents whose weight the sketch of the coarser group has.
+PRIOR = 100
+# A fence lies so many times beyond this quantile as it is from the median.
+# It holds as long as less than that share of a group's documents is junk.
+TAIL, REACH = 0.2, 6
+# Standard deviations of a count by chance that are no reason to reject.
+CHANCE = 4
 GROUP = ("lang", "source")
 
 
 @dataclass(frozen=True)
 class Signal:
-    """A signal in whole numbers; ``spread`` is the least spread assumed between
-    the quartiles, since many groups have none; ``both`` fences below, too."""
+    """``count`` events in a document of ``size``, as a rate per ``scale``;
+    ``both`` fences below, too."""
 
     name: str
-    value: str
-    spread: int
+    count: str
+    size: str
+    scale: int = 1000
     both: bool = False
 
+    @property
+    def rate(self) -> Column:
+        return F.floor(F.lit(self.scale) * F.expr(self.count) / F.greatest(F.col(self.size), F.lit(1))).cast("long")
 
+    def expected(self, limit: str) -> Column:
+        return F.greatest(F.col(limit), F.lit(0)) * F.col(self.size) / self.scale
+
+    def inside(self) -> Column:
+        """Whether a row's count is within its limits, save for chance."""
+        most = self.expected(f"most_{self.name}")
+        within = F.expr(self.count) <= most + CHANCE * F.sqrt(F.greatest(most, F.lit(1.0)))
+        if self.both:
+            least = self.expected(f"least_{self.name}")
+            within = within & (F.expr(self.count) >= least - CHANCE * F.sqrt(F.greatest(least, F.lit(1.0))))
+        return within
+
+
+# Repeated words come by the line, so a line's worth of them is one event.
 SIGNALS = (
-    Signal("symbols", "1000 * n_symbols div greatest(n_words, 1)", 25),
-    Signal("marks", "1000 * n_marks div greatest(n_words, 1)", 50),
-    Signal("upper", "1000 * n_upper div greatest(word_chars, 1)", 40),
-    Signal("dup_lines", "1000 * n_dup_lines div greatest(n_lines, 1)", 90),
-    Signal("repeats", "1000 * n_repeat_words div greatest(n_words, 1)", 90),
-    Signal("word_length", "100 * word_chars div greatest(n_words, 1)", 60, both=True),
+    Signal("symbols", "n_symbols", "n_words"),
+    Signal("marks", "n_marks", "n_words"),
+    Signal("upper", "n_upper", "word_chars"),
+    Signal("dup_lines", "n_dup_lines", "n_lines"),
+    Signal("repeats", "n_repeat_words * n_lines / greatest(n_words, 1)", "n_lines"),
+    Signal("word_length", "word_chars", "n_words", 100, both=True),
 )
 
 
@@ -63,15 +91,24 @@ def document_statistics(docs: DataFrame, carried: list[str], text: str = "text")
     return map_texts(docs, carried, text, ", ".join(f"{name} long" for name in NAMES), start)
 
 
+def _spare_bits(value: Column) -> Column:
+    return F.greatest(F.length(F.bin(value)) - PRECISION_BITS, F.lit(0))
+
+
 def _bin(value: Column) -> Column:
     """The least value of the bin: all but the leading bits are cleared."""
-    extra = F.greatest(F.length(F.bin(value)) - PRECISION_BITS, F.lit(0))
+    extra = _spare_bits(value)
     return F.call_function("shiftleft", F.call_function("shiftright", value, extra), extra)
 
 
+def _bin_end(least: Column) -> Column:
+    """The greatest value of the bin."""
+    return least + F.call_function("shiftleft", F.lit(1).cast("long"), _spare_bits(least)) - 1
+
+
 def sketches(stats: DataFrame, group: tuple[str, ...] = GROUP) -> DataFrame:
     """One row per group, signal and bin with the number of documents."""
-    values = F.array(*[F.struct(F.lit(s.name).alias("signal"), _bin(F.expr(s.value)).alias("bin")) for s in SIGNALS])
+    values = F.array(*[F.struct(F.lit(s.name).alias("signal"), _bin(s.rate).alias("bin")) for s in SIGNALS])
     return (
         stats.select(*group, F.explode(values).alias("one"))
         .groupBy(*group, "one.signal", "one.bin")
@@ -84,37 +121,58 @@ def merged(sketch: DataFrame, group: tuple[str, ...]) -> DataFrame:
     return sketch.groupBy(*group, "signal", "bin").agg(F.sum("n").alias("n"))
 
 
-def quartiles(sketch: DataFrame, group: tuple[str, ...]) -> DataFrame:
-    """Per group and signal its number of documents and its quartiles' bins.
+def blended(sketch: DataFrame) -> DataFrame:
+    """Every group's sketch with those of its language and of all added.
 
-    A window sees the bins of one sketch, whose number does not grow with the
-    documents.
+    ``n`` becomes a weight. Per language and signal the bins are one row, whose
+    length the number of bins bounds.
     """
-    whole = Window.partitionBy(*group, "signal")
-    upto = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = sketch.withColumn("_upto", F.sum("n").over(upto)).withColumn("_all", F.sum("n").over(whole))
-    return ranked.groupBy(*group, "signal").agg(
-        F.max("_all").alias("docs"),
-        F.min(F.when(F.col("_upto") * 4 >= F.col("_all"), F.col("bin"))).alias("low"),
-        F.min(F.when(F.col("_upto") * 4 >= F.col("_all") * 3, F.col("bin"))).alias("high"),
+    overall = merged(sketch, ())
+    by_lang = merged(sketch, GROUP[:1])
+    per_signal = F.sum("n").over(Window.partitionBy("signal"))
+    shares = overall.withColumn("share", F.col("n") / per_signal).groupBy("signal").agg(
+        F.collect_list(F.struct("bin", (PRIOR * F.col("share")).alias("n"))).alias("bins")
+    )
+    totals = by_lang.groupBy("lang", "signal").agg(F.sum("n").alias("docs"))
+    added = totals.join(shares, "signal").select("lang", "signal", F.inline("bins"))
+    smooth = by_lang.select("lang", "signal", "bin", F.col("n").cast("double").alias("n")).union(added)
+    smooth = smooth.groupBy("lang", "signal", "bin").agg(F.sum("n").alias("n"))
+    whole = F.sum("n").over(Window.partitionBy("lang", "signal").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    prior = smooth.withColumn("n", PRIOR * F.col("n") / whole).groupBy(F.col("lang").alias("_lang"), F.col("signal").alias("_signal")).agg(
+        F.sort_array(F.collect_list(F.struct("bin", "n"))).alias("bins")
     )
+    groups = sketch.select(*GROUP, "signal").distinct()
+    same = F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("signal") == F.col("_signal"))
+    rows = sketch.select(*GROUP, "signal", "bin", F.col("n").cast("double").alias("n"))
+    return merged(rows.union(groups.join(prior, same).select(*GROUP, "signal", F.inline("bins"))), GROUP)
 
 
-def fences(sketch: DataFrame, group: tuple[str, ...]) -> DataFrame:
-    """One row per group: documents and, per signal, the values allowed.
+def quantiles(sketch: DataFrame, group: tuple[str, ...], shares: dict[str, float]) -> DataFrame:
+    """Per group and signal its weight ``docs`` and the bins of its quantiles.
 
-    The fence lies ``REACH`` spreads outside of the quartiles. Quartiles hold as
-    long as less than a quarter of the group's documents are junk.
+    A window sees the bins of one sketch, whose number does not grow with the
+    documents.
     """
-    wide = quartiles(sketch, group)
-    columns = [F.max("docs").alias("docs")]
+    whole = Window.partitionBy(*group, "signal").orderBy("bin")
+    upto = whole.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    all_bins = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = sketch.withColumn("_upto", F.sum("n").over(upto)).withColumn("_all", F.sum("n").over(all_bins))
+    # Weights are sums of fractions.
+    found = [F.min(F.when(F.col("_upto") >= F.col("_all") * share * (1 - 1e-9), F.col("bin"))).alias(name) for name, share in shares.items()]
+    return ranked.groupBy(*group, "signal").agg(F.max("_all").alias("docs"), *found)
+
+
+def fences(sketch: DataFrame, group: tuple[str, ...] = GROUP) -> DataFrame:
+    """One row per group: per signal the rates allowed."""
+    wide = quantiles(sketch, group, {"low": TAIL, "middle": 0.5, "high": 1 - TAIL})
+    columns = []
     for s in SIGNALS:
         mine = F.col("signal") == s.name
-        reach = REACH * F.greatest(F.col("high") - F.col("low"), F.lit(s.spread))
-        columns.append(F.max(F.when(mine, F.col("high") + reach)).alias(f"most_{s.name}"))
+        most = _bin_end(F.col("high")) + REACH * (F.col("high") - F.col("middle"))
+        columns.append(F.max(F.when(mine, most)).alias(f"most_{s.name}"))
         if s.both:
-            columns.append(F.max(F.when(mine, F.col("low") - reach)).alias(f"least_{s.name}"))
-    return wide.groupBy(*group).agg(*columns) if group else wide.agg(*columns)
+            columns.append(F.max(F.when(mine, F.col("low") - REACH * (F.col("middle") - F.col("low")))).alias(f"least_{s.name}"))
+    return wide.groupBy(*group).agg(*columns)
 
 
 def _limits() -> list[str]:
@@ -122,34 +180,17 @@ def _limits() -> list[str]:
 
 
 def thresholds(stats: DataFrame) -> DataFrame:
-    """Limits per language and source, from the narrowest group that is large
-    enough; missing languages and sources are groups like any other."""
-    sketch = stage(sketches(stats), "sketches")
-    names = _limits()
-    by_source = fences(sketch, GROUP)
-    by_lang = fences(merged(sketch, GROUP[:1]), GROUP[:1]).select(
-        F.col("lang").alias("_lang"), F.col("docs").alias("_lang_docs"), *[F.col(n).alias(f"_lang_{n}") for n in names]
-    )
-    overall = fences(merged(sketch, ()), ()).first()
-    joined = by_source.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang")), "left")
-    return joined.select(
-        *GROUP,
-        *[
-            F.when(F.col("docs") >= MIN_DOCS, F.col(n))
-            .when(F.col("_lang_docs") >= MIN_DOCS, F.col(f"_lang_{n}"))
-            .otherwise(F.lit(overall[n]))
-            .alias(n)
-            for n in names
-        ],
-    )
+    """Limits per language and source; missing languages and sources are groups
+    like any other."""
+    return fences(blended(stage(sketches(stats), "sketches")))
 
 
 def judged(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Statistics, thresholds and verdict of every row of ``docs``.
 
     ``base_failed``: fewer than 50 words, or over half of the words are in
-    repeated three-word windows. ``kept``: not failed, and every signal is within
-    the thresholds of its language and source. Thresholds are learnt from all
+    repeated three-word windows. ``kept``: not failed, and no signal is beyond
+    the thresholds of its language and source by more than chance. Thresholds are learnt from all
     documents that did not fail, so a group that has none keeps none. Null
     texts count as empty; an empty table gives an empty result; rows are judged
     one by one, so repeated rows stay.
@@ -165,9 +206,7 @@ def judged(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     )
     inside = F.lit(True)
     for s in SIGNALS:
-        inside = inside & (F.expr(s.value) <= F.col(f"most_{s.name}"))
-        if s.both:
-            inside = inside & (F.expr(s.value) >= F.col(f"least_{s.name}"))
+        inside = inside & s.inside()
     same = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
     return (
         stats.join(limits, same, "left")

@@ -55,17 +55,60 @@ def test_sketch_quartiles_are_near_exact_and_merge(spark):
     )
     sketch = table.withColumn("bin", quality_rules._bin(table["value"])).groupBy("lang", "source", "signal", "bin").count()
     sketch = sketch.withColumnRenamed("count", "n")
-    for row in quality_rules.quartiles(sketch, quality_rules.GROUP).collect():
+    quarters = {"low": 0.25, "high": 0.75}
+    for row in quality_rules.quantiles(sketch, quality_rules.GROUP, quarters).collect():
         found = np.sort(values[row["lang"], row["source"]])
         for name, share in (("low", 0.25), ("high", 0.75)):
             exact = found[int(np.ceil(share * len(found))) - 1]
             assert exact * 31 / 32 - 1 <= row[name] <= exact
     both = np.sort(np.concatenate([values["en", "a"], values["en", "b"]]))
-    row = [r for r in quality_rules.quartiles(quality_rules.merged(sketch, ("lang",)), ("lang",)).collect() if r["lang"] == "en"][0]
+    row = [r for r in quality_rules.quantiles(quality_rules.merged(sketch, ("lang",)), ("lang",), quarters).collect() if r["lang"] == "en"][0]
     exact = both[int(np.ceil(0.75 * len(both))) - 1]
     assert row["docs"] == len(both) and exact * 31 / 32 - 1 <= row["high"] <= exact
 
 
+def habits(rng, n: int, source: str, marked: float, first: int) -> list[tuple]:
+    """Documents of 200 words of which a share, more or less, is a symbol."""
+    rows = []
+    for i in range(n):
+        words = [f"w{rng.integers(1 << 40):012x}"[:6] for _ in range(200)]
+        for at in rng.choice(200, int(200 * marked * rng.uniform(0.5, 1.5)), replace=False):
+            words[at] = "#"
+        rows.append((first + i, " ".join(words), "en", source))
+    return rows
+
+
+def test_sources_of_different_habits_get_different_limits(spark):
+    rng = np.random.default_rng(8)
+    schema = "doc_id long, text string, lang string, source string"
+    rows = habits(rng, 300, "plain", 0.0, 0) + habits(rng, 300, "code", 0.1, 1000)
+    # The same documents under either name, and three of a source of its own.
+    rows += [(i + 100 * k, t, "en", s) for k, s in enumerate(("plain", "code")) for i, t, *_ in habits(np.random.default_rng(9), 5, "", 0.15, 5000)]
+    rows += habits(rng, 3, "rare", 0.0, 9000)
+    found = {row["doc_id"]: row for row in quality_rules.judged(spark.createDataFrame(rows, schema)).collect()}
+    assert all(found[i]["kept"] for i in [*range(300), *range(1000, 1300), *range(9000, 9003)])
+    assert not any(found[5000 + i]["kept"] for i in range(5)) and all(found[5100 + i]["kept"] for i in range(5))
+    plain, code, rare = (found[i]["most_symbols"] for i in (0, 1000, 9000))
+    # Both habits blended are wider than either.
+    assert plain < code / 2 and plain < rare
+
+
+def test_blended_sketches_follow_the_group_as_it_grows(spark):
+    def rows(n: int) -> list[tuple]:
+        return [("en", "big", "x", 10, 10_000), ("en", "one", "x", 40, n), ("de", None, "x", 20, 500), (None, None, "x", 30, 5)]
+
+    for n in (1, 100, 100_000):
+        sketch = spark.createDataFrame(rows(n), "lang string, source string, signal string, bin long, n long")
+        got = {(r["lang"], r["source"], r["bin"]): r["n"] for r in quality_rules.blended(sketch).collect()}
+        everything = {10: 10_000, 40: n, 20: 500, 30: 5}
+        total = sum(everything.values())
+        for lang, source, own in (("en", "one", {40: n}), ("en", "big", {10: 10_000}), ("de", None, {20: 500}), (None, None, {30: 5})):
+            mine = {"en": {10: 10_000, 40: n}, "de": {20: 500}, None: {30: 5}}[lang]
+            for b, count in everything.items():
+                share = (mine.get(b, 0) + 100 * count / total) / (sum(mine.values()) + 100)
+                assert abs(got[lang, source, b] - own.get(b, 0) - 100 * share) < 1e-6
+
+
 def test_rules_on_odd_rows(edge_docs, empty_docs):
     rows = quality_rules.judged(edge_docs).collect()
     assert len(rows) == edge_docs.count()
