@@ -21,10 +21,12 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from stratakeep.llm.batches import slices
+from stratakeep.operators.ordered import Cuts, find_cuts, join_one_per_key, previous_values, with_piece
 from stratakeep.sources.tables import stage
 
 ROLES = ("system", "user", "assistant")
@@ -34,6 +36,10 @@ STATES = tuple((role, begins) for role in ROLES for begins in (True, False))
 MARKERS = ("system", "instructions", "user", "human", "question", "q", "assistant", "bot", "answer", "a", "ai")
 # Turns in a piece, and pieces whose borders are found in one group.
 TURNS, FAN = 64, 256
+# Rows that may share the turn numbers of a piece before it is split.
+MOST_ROWS = 16 * TURNS
+# A line that is blank by the same characters as in ``str.strip`` (fixed value).
+_BLANK = "\\A[\\x09-\\x0D\\x1C-\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]*\\z"
 
 _MARKER = re.compile(r"^(?:[#>*\[<|\s]*)(" + "|".join(MARKERS) + r")(?:[\]>|*]*\s*(?::|$)|[\]>|]+)\s*", re.IGNORECASE)
 
@@ -46,10 +52,13 @@ def marker(line: str) -> tuple[int, str]:
     return MARKERS.index(found[1].lower()) + 1, line[found.end() :]
 
 
-def observed(lines: list[str]) -> np.ndarray:
-    """One row of features per line: marker, blank, after a blank, end, length."""
+def observed(lines: list[str], after_blank: bool = True) -> np.ndarray:
+    """One row of features per line: marker, blank, after a blank, end, length.
+
+    ``after_blank``: the line before the first is blank, or there is none.
+    """
     out = np.zeros((len(lines), 5), dtype=np.int64)
-    blank_before = 1
+    blank_before = int(after_blank)
     for at, line in enumerate(lines):
         found, rest = marker(line)
         blank = not rest.strip()
@@ -81,26 +90,26 @@ class Model:
         self.steps = np.log(self.steps / self.steps.sum(axis=1, keepdims=True))
         self.features = [np.log(x / x.sum(axis=1, keepdims=True)) for x in self.features]
 
-    def emissions(self, lines: list[str]) -> np.ndarray:
-        seen = observed(lines)
+    def emissions(self, lines: list[str], after_blank: bool = True) -> np.ndarray:
+        seen = observed(lines, after_blank)
         return sum(table[:, seen[:, i]].T for i, table in enumerate(self.features))
 
-    def summary(self, lines: list[str], first: bool) -> np.ndarray:
+    def summary(self, lines: list[str], first: bool, after_blank: bool = True) -> np.ndarray:
         """Best score from the state before a piece to each at its end.
 
         The first piece of a transcript has no state before it: its rows
         are all the same.
         """
-        scores = self.emissions(lines)
+        scores = self.emissions(lines, after_blank)
         table = np.broadcast_to(self.first + scores[0], self.steps.shape) if first else self.steps + scores[0]
         for row in scores[1:]:
             table = combined(table, self.steps) + row
         return table
 
-    def decode(self, lines: list[str], before: int | None, last: int | None) -> list[int]:
+    def decode(self, lines: list[str], before: int | None, last: int | None, after_blank: bool = True) -> list[int]:
         """States of a piece by Viterbi; ``before`` and ``last`` are the states
         before it and at its end, where known."""
-        scores = self.emissions(lines)
+        scores = self.emissions(lines, after_blank)
         value = (self.first if before is None else self.steps[before]) + scores[0]
         back = []
         for row in scores[1:]:
@@ -118,23 +127,52 @@ def combined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return (left[:, :, None] + right[None, :, :]).max(axis=1)
 
 
-def pieces(turns: DataFrame, key: str, turn: str, lines: Column) -> DataFrame:
-    """``key, piece, lines``: transcripts cut into pieces of ``TURNS`` turns.
+def _split(rows: DataFrame, cuts: Cuts) -> DataFrame:
+    """Further pieces where more than ``MOST_ROWS`` rows have the numbers of one.
+
+    Only transcripts with such a piece are numbered anew, in the same order;
+    their turn numbers are taken to be in the range of an integer. A window
+    holds no more than ``cuts`` leave together.
+    """
+    heavy = stage(rows.groupBy("key", "piece").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MOST_ROWS), "heavy-pieces")
+    if heavy.isEmpty():
+        return rows
+    cut = F.coalesce(*cuts.group[len(cuts.keys) :], F.lit(0)).cast("long")
+    in_piece = Window.partitionBy(*cuts.group, "piece").orderBy("turn", "lines")
+    parts = with_piece(rows, cuts).withColumn("_part", F.floor((F.row_number().over(in_piece) - 1) / TURNS) + F.shiftleft(cut, 22))
+    parts = parts.select(*rows.columns, "_part")
+    parts = join_one_per_key(parts, heavy.select("key").distinct().withColumn("_heavy", F.lit(True)), cuts, "left")
+    piece = F.when(F.col("_heavy"), F.shiftleft("piece", 38) + F.col("_part")).otherwise(F.col("piece"))
+    return parts.withColumn("piece", piece).select(*rows.columns)
+
 
-    ``lines`` makes the list of lines of a row. Rows that are the same in key,
-    turn and lines are one; rows with the same key and turn go by their
-    lines. A row without key or turn is a transcript of its own, with piece
-    null. A group never holds more than a piece.
+def pieces(turns: DataFrame, key: str, turn: str, lines: Column) -> DataFrame:
+    """``key, piece, after_blank, lines``: transcripts cut into pieces of ``TURNS`` turns.
+
+    ``lines`` makes the list of lines of a row, strings or structs with a ``line``.
+    All rows stay: those with the same key and turn go by their lines,
+    repeated rows one after the other. ``after_blank`` tells whether the line before
+    the piece is blank; it is true at a transcript's begin. A row without key
+    or turn is a transcript of its own, with piece null; a row without lines
+    gives none. A group never holds more than ``MOST_ROWS`` rows.
     """
-    rows = turns.select(F.col(key).alias("key"), F.col(turn).cast("long").alias("turn"), lines.alias("lines"))
-    whole = (
-        rows.where("key IS NOT NULL AND turn IS NOT NULL")
-        .distinct()
-        .groupBy("key", F.floor(F.col("turn") / TURNS).alias("piece"))
-        .agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("turn", "lines"))), lambda x: x["lines"])).alias("lines"))
+    rows = turns.select(F.col(key).alias("key"), F.col(turn).cast("long").alias("turn"), lines.alias("lines")).where(F.size("lines") > 0)
+    final = F.element_at("lines", -1)
+    if isinstance(rows.schema["lines"].dataType.elementType, StructType):
+        final = final["line"]
+    known = rows.where("key IS NOT NULL AND turn IS NOT NULL").withColumns(
+        {"piece": F.floor(F.col("turn") / TURNS), "blank": F.coalesce(F.regexp_like(final, F.lit(_BLANK)), F.lit(True))}
+    )
+    cuts = find_cuts(known, ["key"], ["turn", "lines", "piece"], cut_on=["turn", "lines"])
+    known = previous_values(_split(known, cuts), cuts, {"after_blank": "blank", "before": "piece"})
+    # Of the rows of a piece only its first comes after another piece's or none.
+    first = F.when(F.col("before").isNull() | (F.col("before") != F.col("piece")), F.coalesce("after_blank", F.lit(True)))
+    whole = known.groupBy("key", "piece").agg(
+        F.max(first).alias("after_blank"),
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("turn", "lines"))), lambda x: x["lines"])).alias("lines"),
     )
-    single = rows.where("key IS NULL OR turn IS NULL").select("key", F.lit(None).cast("long").alias("piece"), "lines")
-    return whole.union(single).where(F.size("lines") > 0)
+    single = rows.where("key IS NULL OR turn IS NULL").select("key", F.lit(None).cast("long").alias("piece"), F.lit(True).alias("after_blank"), "lines")
+    return whole.union(single)
 
 
 def train(labelled: DataFrame) -> Model:
@@ -151,13 +189,13 @@ def train(labelled: DataFrame) -> Model:
             held[entry] = held.get(entry, 0) + 1
 
         for part in slices(batches):
-            for first, lines in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+            for first, after_blank, lines in zip(*[part.column(i).to_pylist() for i in range(3)], strict=True):
                 states = [line["state"] for line in lines]
                 if first:
                     add("first", 0, states[0])
                 for a, b in zip(states, states[1:], strict=False):
                     add("step", a, b)
-                for state, seen in zip(states, observed([line["line"] for line in lines]).tolist(), strict=True):
+                for state, seen in zip(states, observed([line["line"] or "" for line in lines], after_blank).tolist(), strict=True):
                     for i, value in enumerate(seen):
                         add(str(i), state, value)
         kinds, a, b = zip(*held, strict=True) if held else ((), (), ())
@@ -165,7 +203,7 @@ def train(labelled: DataFrame) -> Model:
         yield pa.RecordBatch.from_arrays(columns, ["kind", "a", "b", "n"])
 
     first = F.coalesce(F.col("piece") == 0, F.lit(True))
-    counted = labelled.select(first.alias("first"), "lines").mapInArrow(run, "kind string, a long, b long, n long")
+    counted = labelled.select(first.alias("first"), "after_blank", "lines").mapInArrow(run, "kind string, a long, b long, n long")
     rows = counted.groupBy("kind", "a", "b").agg(F.sum("n").alias("n")).collect()
     return Model({(row["kind"], row["a"], row["b"]): float(row["n"]) for row in rows})
 
@@ -249,28 +287,28 @@ def parse(transcripts: DataFrame, model: Model) -> DataFrame:
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            rows = zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)
-            found = [model.summary([x or "" for x in lines], first).ravel().tolist() for first, lines in rows]
+            rows = zip(*[part.column(i).to_pylist() for i in range(2, 5)], strict=True)
+            found = [model.summary([x or "" for x in lines], first, after_blank).ravel().tolist() for first, after_blank, lines in rows]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.list_(pa.float64()))], ["key", "piece", "scores"])
 
-    long = transcripts.join(several, "key").select("key", "piece", (F.col("piece") == F.col("begin")).alias("first"), "lines")
+    long = transcripts.join(several, "key").select("key", "piece", (F.col("piece") == F.col("begin")).alias("first"), "after_blank", "lines")
     tables = stage(long.mapInArrow(summed, f"key {kind}, piece long, scores array<double>"), "chat-summaries")
     borders = stage(_borders(tables), "chat-borders").join(several.select("key", "end"), "key")
     borders = borders.select(F.col("key").alias("_key"), F.col("piece").alias("_piece"), "before", "last", (F.col("piece") == F.col("end")).alias("closes"))
     ready = transcripts.join(borders, (F.col("key") == F.col("_key")) & (F.col("piece") == F.col("_piece")), "left").select(
-        "key", "piece", "before", "last", F.coalesce("closes", F.lit(True)).alias("closes"), "lines"
+        "key", "piece", "before", "last", F.coalesce("closes", F.lit(True)).alias("closes"), "after_blank", "lines"
     )
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             states, turns, texts = [], [], []
-            for before, last, closes, lines in zip(*[part.column(i).to_pylist() for i in range(2, 6)], strict=True):
+            for before, last, closes, after_blank, lines in zip(*[part.column(i).to_pylist() for i in range(2, 7)], strict=True):
                 lines = [x or "" for x in lines]
-                path = model.decode(lines, before, last)
+                path = model.decode(lines, before, last, after_blank)
                 states.append(path)
                 turns.append(sum(STATES[s][1] or (at == 0 and before is None) for at, s in enumerate(path)))
                 texts.append(rendered(lines, path, before is not None, closes))
-            columns = [part.column(0), part.column(1), part.column(5), pa.array(states, pa.list_(pa.int32())), pa.array(turns, pa.int64()), pa.array(texts, pa.string())]
+            columns = [part.column(0), part.column(1), part.column(6), pa.array(states, pa.list_(pa.int32())), pa.array(turns, pa.int64()), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["key", "piece", "lines", "states", "n_turns", "rendered"])
 
     return ready.mapInArrow(decoded, f"key {kind}, piece long, lines array<string>, states array<int>, n_turns long, rendered string")

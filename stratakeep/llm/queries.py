@@ -85,7 +85,7 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = stage(transcripts(_table(spark, sf_dir, "conversations")), "transcripts")
     held_out = F.coalesce(remainder(F.col("key"), 5) == 0, F.lit(False))
     model = chat.train(known.where(~held_out))
-    parsed = chat.parse(known.select("key", "piece", F.transform("lines", lambda x: x["line"]).alias("lines")), model)
+    parsed = chat.parse(known.select("key", "piece", "after_blank", F.transform("lines", lambda x: x["line"]).alias("lines")), model)
     roles = F.transform("states", lambda s: F.element_at(F.array(*[F.lit(r) for r, _ in chat.STATES]), s + 1))
     return parsed.select(
         F.col("key").alias("conv_id"),

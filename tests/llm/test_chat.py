@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from stratakeep.llm import chat
 from stratakeep.llm.queries import QUERIES, transcripts
+from stratakeep.operators import ordered
 from tests.llm.conftest import SF_DIR
 
 
@@ -49,14 +51,14 @@ def test_a_transcript_in_many_pieces_is_decoded_as_a_whole(spark):
     """More pieces than one group takes, so borders are found on two levels."""
     n = chat.TURNS * (chat.FAN + 10)
     rng = np.random.default_rng(8)
-    texts = rng.choice(["User: hello there?", "Bot: fine.", "and more", "Q: why", "x", "Answer: so"], n)
+    texts = rng.choice(["User: hello there?", "Bot: fine.", "and more", "Q: why", "x", "Answer: so", "", " \u2003"], n)
     turns = spark.createDataFrame([(1, i, t) for i, t in enumerate(texts.tolist())] + [(2, 0, "System: be kind"), (2, 1, "hello")], "c long, t long, text string")
     found = chat.pieces(turns, "c", "t", F.array("text"))
     marked = found.withColumn("lines", F.transform("lines", lambda x: F.struct(x.alias("line"), F.when(x.like("%:%"), 2).otherwise(3).cast("long").alias("state"))))
     model = chat.train(marked)
     parsed = chat.parse(found, model).where("key = 1").orderBy("piece").collect()
     got = [s for row in parsed for s in row["states"]]
-    scores = np.concatenate([model.emissions(row["lines"]) for row in parsed])
+    scores = model.emissions(texts.tolist())
     value, back = model.first + scores[0], []
     for row in scores[1:]:
         through = value[:, None] + model.steps
@@ -71,6 +73,25 @@ def test_a_transcript_in_many_pieces_is_decoded_as_a_whole(spark):
     assert sum(row["n_turns"] for row in parsed) == whole.count("<|end|>")
 
 
+@pytest.mark.parametrize("cut", [False, True])
+def test_repeated_turns_stay_and_large_ties_are_split(spark, monkeypatch, cut):
+    monkeypatch.setattr(chat, "MOST_ROWS", 100)
+    if cut:
+        monkeypatch.setattr(ordered, "MAX_ROWS_PER_TASK", 150)
+    rows = [(1, 5, f"line {i % 400:03}" if i % 400 else "") for i in range(1200)] + [(1, 6, "last"), (1, -1, ""), (2, 0, "x"), (2, 0, "x"), (2, 64, "y")]
+    found = chat.pieces(spark.createDataFrame(rows, "c long, t long, text string"), "c", "t", F.array("text")).collect()
+    assert max(len(row["lines"]) for row in found) <= 100
+    for key in (1, 2):
+        mine = sorted((row for row in found if row["key"] == key), key=lambda row: row["piece"])
+        lines = [x for row in mine for x in row["lines"]]
+        assert lines == [text for c, _, text in sorted(rows) if c == key]
+        at = 0
+        for row in mine:
+            assert row["after_blank"] == (at == 0 or not lines[at - 1])
+            at += len(row["lines"])
+    assert sorted(row["piece"] for row in found if row["key"] == 2) == [0, 1]
+
+
 def test_rendering():
     assert chat.rendered(["User: hi", "there", "", "[assistant]", "yes"], [2, 3, 3, 4, 5], False, True) == (
         "<|user|>\nhi\nthere\n\n<|end|>\n<|assistant|>\nyes\n<|end|>\n"
