@@ -3,7 +3,11 @@
 Every vector is projected on random lines, each kept as a sorted array. Around
 a query's own projection a window is laid; a vector in it collides. Windows are
 widened step by step (virtual rehashing), no hash table is built again, and vectors that
-collide on enough lines are verified with their true cosine.
+collide on enough lines are verified with their true cosine. Two vectors' distance
+tells how often they collide at a width, whatever the dimension; so widening stops
+when a vector as near as the k-th found would have been verified almost surely. Where
+distances differ little, as in many dimensions without clusters, that is when
+most of a block has been.
 
 Rows are dealt to blocks by the hash of their id, queries too, and every block
 of queries meets every block of rows: all rows are candidates, nothing
@@ -13,6 +17,7 @@ gives its best rows only.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,9 +30,10 @@ LINES = 96
 THRESHOLD = 0.54
 # Half widths of the windows in units of a projection's spread; the last
 # window holds everything.
-WIDTHS = (0.125, 0.25, 0.5, 1.0, 2.0, np.inf)
-# No wider window once this share of a block is verified, beyond those wanted.
-VERIFIED = 0.2
+WIDTHS = (0.125, 0.25, 0.5, 0.75, 1.0, 1.25, 1.5, 2.0, np.inf)
+# Standard deviations by which the collisions of a vector as near as the k-th
+# found are expected beyond the threshold before widening stops.
+SURE = 1.65
 ROW_BLOCK, QUERY_BLOCK = 4096, 1024
 SEED = 7
 
@@ -39,6 +45,17 @@ def usable(vector: str) -> Column:
     return parts.isNotNull() & ~odd & F.exists(parts, lambda x: x != 0)
 
 
+def reaches(width: float, cosine: float) -> bool:
+    """Whether a vector of that cosine is verified, almost surely, at a width.
+
+    On a line of standard normal parts two unit vectors lie apart by a normal number
+    whose spread is their distance.
+    """
+    apart = math.sqrt(max(2 - 2 * cosine, 0.0))
+    chance = math.erf(width / (apart * math.sqrt(2))) if apart > 0 else 1.0
+    return LINES * chance - SURE * math.sqrt(LINES * chance * (1 - chance)) >= THRESHOLD * LINES
+
+
 class Index:
     """Sorted projections of a block of vectors.
 
@@ -72,18 +89,18 @@ class Index:
         firsts, spans = self._windows(queries)
         least = int(np.ceil(THRESHOLD * LINES))
         for query_id, query, first, span in zip(query_ids, queries, firsts, spans, strict=True):
-            own = self.ids == query_id
-            wanted = min(k + VERIFIED * len(self.ids), len(self.ids) - own.sum())
-            verified = np.nonzero(own)[0][:0]
-            for width in range(len(WIDTHS)):
+            others = self.ids != query_id
+            length = np.sqrt((query * query).sum())
+            for width, half in enumerate(WIDTHS):
                 # Ranks below the window wrap around and count as far above it.
                 inside = (self._ranks - first[width][:, None]) < span[width][:, None]
                 hits = inside.view(np.uint8).sum(axis=0, dtype=np.uint8)
-                verified = np.nonzero((hits >= least) & ~own)[0]
-                if len(verified) >= wanted:
+                verified = np.nonzero((hits >= least) & others)[0]
+                if len(verified) < k and half < np.inf:
+                    continue
+                scores = (self.vectors[verified] * query).sum(axis=1) / (self._norms[verified] * length)
+                if half == np.inf or reaches(half, np.partition(scores, -k)[-k]):
                     break
-            dots = (self.vectors[verified] * query).sum(axis=1)
-            scores = dots / (self._norms[verified] * np.sqrt((query * query).sum()))
             best = np.lexsort((self.ids[verified], -scores))[:k]
             yield self.ids[verified[best]], scores[best]
 

@@ -34,6 +34,23 @@ def test_recall_and_scores_of_the_query(spark, sf_dir):
     assert hits / (5 * len(found)) >= 0.9
 
 
+@pytest.mark.parametrize("dimension", [8, 64, 128, 384, 768])
+@pytest.mark.parametrize("clusters", [0, 50])
+def test_recall_does_not_fall_with_the_dimension(dimension, clusters):
+    rng = np.random.default_rng(dimension + clusters)
+    vectors = rng.standard_normal((4096, dimension))
+    if clusters:
+        vectors += 2 * rng.standard_normal((clusters, dimension))[rng.integers(clusters, size=4096)]
+    ids = np.arange(4096)
+    asked = ids[::100]
+    hits = 0
+    for query, (found, scores) in zip(asked, collisions.Index(ids, vectors).nearest(asked, vectors[asked], 5), strict=True):
+        want = exact(ids, vectors, query, 5)
+        hits += len({i for i, _ in want} & set(found.tolist()))
+        assert len(found) == 5 and np.allclose(scores, vectors[found] @ vectors[query] / np.linalg.norm(vectors[found], axis=1) / np.linalg.norm(vectors[query]))
+    assert hits / (5 * len(asked)) >= 0.95
+
+
 def test_several_blocks_and_copies(spark, monkeypatch):
     monkeypatch.setattr(collisions, "ROW_BLOCK", 100)
     monkeypatch.setattr(collisions, "QUERY_BLOCK", 3)
