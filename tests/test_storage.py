@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import time
 from datetime import datetime, timezone
 from types import SimpleNamespace
 
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stratakeep.plans.warehouse import Warehouse
 from stratakeep.sources import append_load, read_landing, read_loads, read_table, replace_table, scratch_path, split_landing, stage
+from stratakeep.sources.buckets import SHUFFLE_CLEANUP, BucketTable
 from stratakeep.sources.landing import infer_landing_schema
 from stratakeep.sources.schemas import CUSTOMER
 
@@ -109,3 +111,30 @@ def test_hub_and_link_loads_of_a_warehouse(spark, tmp_path):
     assert second.load_link("link", pairs, "lk", "src") == 0
     with pytest.raises(ValueError, match="mode"):
         first.load_satellite("sat", ids, "_id", "hk", "src", mode="other")
+
+
+def test_writes_leave_no_shuffle_files_and_tables_are_packed(spark, tmp_path, monkeypatch):
+    """On a driver that does not collect garbage, shuffles of every write would pile up."""
+    monkeypatch.setattr("stratakeep.sources.tables.tempfile", SimpleNamespace(mkdtemp=lambda prefix: str(tmp_path / "shared")))
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffle_files() -> set[str]:
+        files = disk.getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before, setting = shuffle_files(), spark.conf.get(SHUFFLE_CLEANUP)
+    counts = spark.range(1000).groupBy(F.col("id") % 7).count()
+    digests = spark.range(20_000).select(F.md5(F.col("id").cast("string")).alias("digest")).repartition(2)
+    assert append_load(digests, str(tmp_path / "table"), "one") == 20_000
+    BucketTable(spark, str(tmp_path / "buckets"), ["digest"]).replace(digests)
+    assert len(stage(counts, "counts").collect()) == 7
+    for _ in range(100):
+        left = shuffle_files() - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(SHUFFLE_CLEANUP) == setting
+    for table in ("table", "buckets"):
+        files = list((tmp_path / table).rglob("*.parquet"))
+        # 32 characters of four bits each.
+        assert files and sum(file.stat().st_size for file in files) < 20_000 * 24
