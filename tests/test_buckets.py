@@ -78,3 +78,17 @@ def test_an_empty_state(spark, tmp_path):
     assert table.count() == 0
     with pytest.raises(LookupError):
         BucketTable(spark, str(tmp_path / "none"), ["id"]).update(numbers(spark, 1, 0))
+
+
+def test_several_tasks_write_a_bucket(spark, tmp_path, dealt):
+    """So that the few buckets of a middling table do not leave most cores idle."""
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        table = BucketTable(spark, str(tmp_path / "t"), ["id"])
+        table.replace(numbers(spark, 20, 1), rows=20)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len(glob.glob(f"{tmp_path}/t/batch=*/{BUCKET}=*")) == 2
+    assert len(glob.glob(f"{tmp_path}/t/batch=*/{BUCKET}=*/*.parquet")) > 2
+    assert keys(table.read()) == [(n, 1) for n in range(20)]
