@@ -73,6 +73,7 @@ class PrefixCounter:
         # Lengths of the tokens that end alike, the longest first.
         self._lengths = {tail: (*sorted(found, reverse=True), 2, 1) for tail, found in lengths.items()}
         self._known: dict[str, bytes] = {}
+        self._states: dict[str, tuple[int, int]] = {}
         self._follows: dict[int, bool] = {}
 
     def _may_follow(self, first: int, second: int) -> bool:
@@ -86,28 +87,36 @@ class PrefixCounter:
     def piece(self, piece: str) -> list[int]:
         """Counts at every byte of one piece, given as byte characters.
 
-        Beginnings that pieces share are counted again: to look each of them up
-        and keep it costs more than the few steps it saves.
+        Pieces share beginnings, so the states of short prefixes are kept.
         """
-        ids, lengths, follows = self._ids, self._lengths, self._follows
+        states, ids, lengths, follows = self._states, self._ids, self._lengths, self._follows
+        kept = len(piece) <= CACHE_CHARS
+        if len(states) > CACHE_UNITS:
+            states.clear()
         counts, last = [0], [-1]
         for end in range(1, len(piece) + 1):
-            for length in lengths.get(piece[end - 3 if end > 3 else 0 : end], (2, 1)):
-                start = end - length
-                if start < 0:
-                    continue
-                token = ids.get(piece[start:end])
-                if token is None:
-                    continue
-                if start:
-                    fits = follows.get(last[start] << 20 | token)
-                    if not (self._may_follow(last[start], token) if fits is None else fits):
+            prefix = piece[:end] if kept else ""
+            state = states.get(prefix)
+            if state is None:
+                for length in lengths.get(piece[max(0, end - 3) : end], (2, 1)):
+                    start = end - length
+                    if start < 0:
                         continue
-                counts.append(counts[start] + 1)
-                last.append(token)
-                break
-            else:
-                raise ValueError(f"no token of the vocabulary ends at byte {end} of {piece!r}")
+                    token = ids.get(piece[start:end])
+                    if token is None:
+                        continue
+                    if start:
+                        fits = follows.get(last[start] << 20 | token)
+                        if not (self._may_follow(last[start], token) if fits is None else fits):
+                            continue
+                    state = (counts[start] + 1, token)
+                    break
+                else:
+                    raise ValueError(f"no token of the vocabulary ends at byte {end} of {piece!r}")
+                if kept:
+                    states[prefix] = state
+            counts.append(state[0])
+            last.append(state[1])
         return counts[1:]
 
     def unit(self, unit: str) -> bytes:
