@@ -3,14 +3,15 @@
 Both encode the whole text. A place where a token of each ends is a shared end,
 verified by byte offsets; shared ends before a token that begins with a space
 are anchors. Anchors cut a document into windows of token ids. The same windows
-come again and again, so their alignment is kept by their two id tuples: the
+come again and again, so they are aligned once per pair of id tuples: the
 groups between neighbouring shared ends, and the links, which are the pairs of
 tokens whose byte ranges overlap.
 
 How often an id pair is linked corpus-wide is counted per chunk of documents
-(a few megabytes of text), where every window has a small number. A unit of
-text keeps the windows that it is cut into, so texts are put together from
-numbers. Chunks send
+(a few megabytes of text), where every unit of text and every window has a
+small number. When a chunk is full, its distinct units are encoded, cut into
+windows and aligned as arrays that lie end to end, with no object per unit or
+window, and its texts are put together from numbers. Chunks send
 each of their distinct pairs once, get its count back, and add up the documents
 from their windows; neither texts nor links are shuffled.
 """
@@ -19,10 +20,11 @@ from __future__ import annotations
 
 import os
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache
-from itertools import chain
+from itertools import chain, count
 from typing import NamedTuple
 
 import numpy as np
@@ -36,7 +38,7 @@ from tokenizers import Tokenizer
 
 from stratakeep.llm.batches import slices
 from stratakeep.llm.byte_bpe import byte_characters
-from stratakeep.llm.units import CACHE_CHARS, cut
+from stratakeep.llm.units import cut
 from stratakeep.sources.tables import stage
 
 # A chunk ends at so many bytes of text; one longer text is a chunk alone.
@@ -47,9 +49,6 @@ SLICE_ROWS = 256
 FREQUENT = 200_000
 # An id pair is written as one number: the first id times this, plus the second.
 PAIR = 1 << 15
-# Units and windows kept per Python worker, and the most tokens of a window kept.
-CACHE_UNITS = MEMO_WINDOWS = 150_000
-MEMO_TOKENS = 64
 # Units that one line holds.
 LINE_UNITS = 1024
 
@@ -76,6 +75,20 @@ class Vocabulary:
         return b"".join([self.bytes_of[i] or b"" for i in ids])
 
 
+class Laid(NamedTuple):
+    """Ids of both sides, laid end to end, and how many each unit or window has."""
+
+    a: np.ndarray
+    b: np.ndarray
+    sizes_a: np.ndarray
+    sizes_b: np.ndarray
+
+
+def _end_to_end(parts: list[Laid]) -> Laid:
+    nothing = np.zeros(0, dtype="<i4")
+    return Laid(*[np.concatenate([nothing, *side]) for side in zip(*parts, strict=True)]) if parts else Laid(*[nothing] * 4)
+
+
 def _piece_bytes(library: sentencepiece.SentencePieceProcessor, i: int) -> bytes:
     piece = library.id_to_piece(i)
     return bytes([int(piece[3:5], 16)]) if library.is_byte(i) else piece.replace(_SPACE, " ").encode()
@@ -107,9 +120,8 @@ class Encoders:
         # Such a token could reach over a cut between units.
         if any(re.search(r"\S ", (token or b"").decode(errors="replace")) for token in [*of_a, *self.b.bytes_of]):
             raise ValueError("a token of these vocabularies reaches over a space")
-        self._units: dict[str, tuple[Key, ...] | None] = {}
 
-    def _encode(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
+    def _encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """Ids of each text with a space in front; None where the bytes of
         either side's tokens are not those of space and text."""
         first = [one.ids for one in self._a.encode_batch_fast([" " + x for x in texts], add_special_tokens=False)]
@@ -118,47 +130,54 @@ class Encoders:
         for text, a, b in zip(texts, first, second, strict=True):
             wanted = b" " + text.encode()
             same = self.a.joined(a) == wanted and self.b.joined(b) == wanted
-            out.append((np.array(a, dtype="<i4").tobytes(), np.array(b, dtype="<i4").tobytes()) if same else None)
+            out.append((np.array(a, dtype="<i4"), np.array(b, dtype="<i4")) if same else None)
         return out
 
-    def _encode_line(self, units: list[str]) -> list[tuple[bytes, bytes] | None]:
-        """As ``_encode`` for units that neither begin nor end with white
+    def _encode_each(self, units: list[str]) -> Laid:
+        nothing = np.zeros(0, dtype="<i4")
+        found = [ids or (nothing, nothing) for ids in self._encode(units)]
+        return _end_to_end([Laid(a, b, np.array([len(a)]), np.array([len(b)])) for a, b in found])
+
+    def _encode_line(self, units: list[str]) -> Laid:
+        """As ``_encode_each`` for units that neither begin nor end with white
         space: one line holds them all, and its tokens are dealt out again by
         byte offsets. If an offset is not where a unit ends, each goes alone."""
         if len(units) < 2:
-            return self._encode(units)
-        line = " ".join(units)
+            return self._encode_each(units)
         ends = np.cumsum([len(unit.encode()) + 1 for unit in units])
-        found = self._encode([line])[0]
+        found = self._encode([" ".join(units)])[0]
         if found is None:
-            return self._encode(units)
-        sides = []
+            return self._encode_each(units)
+        sizes = []
         for ids, vocabulary in zip(found, (self.a, self.b), strict=True):
-            at = np.cumsum(vocabulary.widths[np.frombuffer(ids, dtype="<i4")])
+            at = np.cumsum(vocabulary.widths[ids])
             place = np.searchsorted(at, ends)
             if (at[place] != ends).any():
-                return self._encode(units)
-            last = [0, *((place + 1) * 4).tolist()]
-            sides.append([ids[i:j] for i, j in zip(last, last[1:], strict=False)])
-        return list(zip(*sides, strict=True))
+                return self._encode_each(units)
+            sizes.append(np.diff(place, prepend=-1))
+        return Laid(*found, *sizes)
 
-    def windows(self, units: list[str]) -> list[tuple[Key, ...] | None]:
-        """The windows of each unit; None where a side does not give its bytes back."""
-        if len(self._units) > CACHE_UNITS:
-            self._units.clear()
-        known = self._units
-        new = [unit for unit in units if unit not in known]
+    def encode(self, units: list[str]) -> tuple[Laid, np.ndarray]:
+        """Ids of the units, none where a side does not give its bytes back,
+        and the place of each unit among them."""
         plain, odd = [], []
-        for unit in new:
-            (odd if not unit or unit[0].isspace() or unit[-1].isspace() else plain).append(unit)
-        ids = [x for start in range(0, len(plain), LINE_UNITS) for x in self._encode_line(plain[start : start + LINE_UNITS])]
+        for i, unit in enumerate(units):
+            (odd if not unit or unit[0].isspace() or unit[-1].isspace() else plain).append(i)
+        lines = (plain[start : start + LINE_UNITS] for start in range(0, len(plain), LINE_UNITS))
+        parts = [self._encode_line([units[i] for i in line]) for line in lines]
         if odd:
-            ids += self._encode(odd)
-        cut_up = iter(windows([sides for sides in ids if sides], (self.a, self.b)))
-        made = dict(zip([*plain, *odd], [sides and next(cut_up) for sides in ids], strict=True))
-        out = [made[unit] if unit in made else known[unit] for unit in units]
-        known.update((unit, found) for unit, found in made.items() if len(unit) <= CACHE_CHARS)
-        return out
+            parts.append(self._encode_each([units[i] for i in odd]))
+        places = np.empty(len(units), dtype=np.int64)
+        places[plain + odd] = np.arange(len(units))
+        return _end_to_end(parts), places
+
+    def windows(self, units: list[str]) -> list[tuple[Key, ...] | None]:
+        """The windows of each unit; None where a side does not give its bytes back."""
+        laid, places = self.encode(units)
+        found, numbers, counts = windows(laid, (self.a, self.b))
+        keys = list(zip(_split(found.a, found.sizes_a), _split(found.b, found.sizes_b), strict=True))
+        last = np.cumsum(counts)
+        return [tuple([keys[i] for i in numbers[last[at] - counts[at] : last[at]]]) or None for at in places]
 
 
 @cache
@@ -166,16 +185,18 @@ def encoders(path_a: str, path_b: str) -> Encoders:
     return Encoders(path_a, path_b)
 
 
-class Window(NamedTuple):
-    """The alignment of one window: groups as text, their number, the links."""
+class Aligned(NamedTuple):
+    """Alignments of windows: their groups as one text, a line per window, the
+    number of groups and of links per window, and the links one after another."""
 
     groups: str
-    n_groups: int
-    pairs: bytes
+    n_groups: np.ndarray
+    n_links: np.ndarray
+    pairs: np.ndarray
 
 
-class Memo:
-    """Alignments of windows, kept by their two id tuples."""
+class Aligner:
+    """Aligns windows in bulk."""
 
     def __init__(self, vocabularies: tuple[Vocabulary, Vocabulary]) -> None:
         self._widths = tuple(v.widths for v in vocabularies)
@@ -185,19 +206,8 @@ class Memo:
         written = [f"{i}{mark}" for mark in ",|" for i in range(size)]
         written += [f"{i}{mark}" for mark in ",;\n" for i in range(len(self._widths[1]))]
         self._written = np.array(written, dtype=object)
-        self._known: dict[Key, Window] = {}
-
-    def find(self, keys: list[Key]) -> list[Window]:
-        known = self._known
-        new = [key for key in dict.fromkeys(keys) if key not in known]
-        made = dict(zip(new, self.align(new), strict=True)) if new else {}
-        out = [made.get(key) or known[key] for key in keys] if made else [known[key] for key in keys]
-        if len(known) + len(made) > MEMO_WINDOWS:
-            known.clear()
-        known.update((key, window) for key, window in made.items() if len(key[0]) <= 4 * MEMO_TOKENS)
-        return out
 
-    def align(self, keys: list[Key]) -> list[Window]:
+    def align(self, found: Laid) -> Aligned:
         """Groups and links of windows, whose two sides cover the same bytes.
 
         The windows are laid end to end. Between two neighbouring ends, of
@@ -205,20 +215,21 @@ class Memo:
         is a link of its own.
         """
         width_a, width_b = self._widths
-        a, b = (np.frombuffer(b"".join(side), dtype="<i4") for side in zip(*keys, strict=True))
+        a, b = found.a, found.b
+        if not len(a):
+            return Aligned("", *[np.zeros(0, dtype="<i4")] * 3)
         ends_a, ends_b = np.cumsum(width_a[a]), np.cumsum(width_b[b])
-        stops_a = np.cumsum([len(side) for side, _ in keys]) // 4 - 1
-        stops_b = np.cumsum([len(side) for _, side in keys]) // 4 - 1
-        ends = np.union1d(ends_a, ends_b)
-        pairs = (a[np.searchsorted(ends_a, ends)] * PAIR + b[np.searchsorted(ends_b, ends)]).astype("<i4").tobytes()
-        links = [0, *((np.searchsorted(ends, ends_a[stops_a]) + 1) * 4).tolist()]
-
+        stops_a, stops_b = np.cumsum(found.sizes_a) - 1, np.cumsum(found.sizes_b) - 1
         place = np.searchsorted(ends_b, ends_a)
         shared_a = ends_b[place] == ends_a
         shared_b = np.zeros(len(b), dtype=bool)
         shared_b[place[shared_a]] = True
+        # Two sorted parts, which this kind of sort merges.
+        ends = np.sort(np.concatenate([ends_a, ends_b[~shared_b]]), kind="stable")
+        pairs = (a[np.searchsorted(ends_a, ends)] * PAIR + b[np.searchsorted(ends_b, ends)]).astype("<i4")
+        n_links = np.diff(np.searchsorted(ends, ends_a[stops_a]), prepend=-1)
         group_a, group_b = np.cumsum(shared_a), np.cumsum(shared_b)
-        counts = np.diff(group_a[stops_a], prepend=0).tolist()
+        n_groups = np.diff(group_a[stops_a], prepend=0)
         # A group is written as its tokens of A, then those of B.
         done_a, done_b = np.nonzero(shared_a)[0] + 1, np.append(0, np.nonzero(shared_b)[0] + 1)
         last_b = shared_b.astype(int)
@@ -226,31 +237,46 @@ class Memo:
         order = np.empty(len(a) + len(b), dtype=np.int64)
         order[np.arange(len(a)) + done_b[group_a - shared_a]] = a + shared_a * self._size
         order[np.arange(len(b)) + done_a[group_b - shared_b]] = 2 * self._size + b + last_b * len(width_b)
-        texts = "".join(self._written[order].tolist()).split("\n")
-        return [Window(*x, pairs[i:j]) for *x, i, j in zip(texts, counts, links, links[1:], strict=False)]
+        return Aligned("".join(self._written[order].tolist())[:-1], n_groups, n_links, pairs)
+
 
+def _split(ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """The ids, as bytes, of each unit or window."""
+    raw, last = ids.tobytes(), (np.cumsum(sizes) * ids.itemsize).tolist()
+    return [raw[i:j] for i, j in zip([0, *last], last, strict=False)]
 
-def windows(units: list[tuple[bytes, bytes]], vocabularies: tuple[Vocabulary, Vocabulary]) -> list[tuple[Key, ...]]:
-    """The id tuples, as bytes, between neighbouring anchors of each unit.
 
-    Both sides' ids are those of units laid end to end. Every unit begins with
-    a space, so where one ends is an anchor itself.
+def windows(units: Laid, vocabularies: tuple[Vocabulary, Vocabulary]) -> tuple[Laid, np.ndarray, np.ndarray]:
+    """The distinct windows between neighbouring anchors of the units, the
+    windows of each unit in order, by number, and how many each unit has.
+
+    Every unit begins with a space, so where one ends is an anchor itself. A
+    window that is a whole unit occurs once, as units are distinct; windows of
+    units that have several are compared by their two id tuples.
     """
-    if not units:
-        return []
-    all_a, all_b = (b"".join(side) for side in zip(*units, strict=True))
-    a, b = (np.frombuffer(side, dtype="<i4") for side in (all_a, all_b))
+    a, b = units.a, units.b
     ends_a, ends_b = (np.cumsum(v.widths[ids]) for ids, v in zip((a, b), vocabularies, strict=True))
-    before_space = np.append(vocabularies[0].spaced[a[1:]], True)
+    before_space = np.append(vocabularies[0].spaced[a[1:]], True)[: len(a)]
     place = np.searchsorted(ends_b, ends_a)
     anchors = np.nonzero(before_space & (ends_b[place] == ends_a))[0]
-    stops_a, stops_b = ((anchors + 1) * 4).tolist(), ((place[anchors] + 1) * 4).tolist()
-    cut_at = zip([0, *stops_a], stops_a, [0, *stops_b], stops_b, strict=False)
-    found = [(all_a[i:j], all_b[k:m]) for i, j, k, m in cut_at]
-    if len(found) == len(units):
-        return [(key,) for key in found]
-    last = np.searchsorted(stops_a, np.cumsum([len(ids) for ids, _ in units])) + 1
-    return [tuple(found[i:j]) for i, j in zip([0, *last.tolist()], last.tolist(), strict=False)]
+    found = Laid(a, b, np.diff(anchors, prepend=-1), np.diff(place[anchors], prepend=-1))
+    counts = np.diff(np.searchsorted(anchors, np.cumsum(units.sizes_a) - 1, side="right"), prepend=0)
+    numbers = np.arange(len(anchors))
+    several = np.nonzero(np.repeat(counts > 1, counts))[0].tolist()
+    if several:
+        keys = zip(_split(a, found.sizes_a), _split(b, found.sizes_b), strict=True)
+        first: dict[Key, int] = {}
+        wanted = iter(several)
+        at = next(wanted)
+        for number, key in enumerate(keys):
+            if number == at:
+                numbers[number] = first.setdefault(key, number)
+                at = next(wanted, -1)
+        kept = numbers == np.arange(len(numbers))
+        a, b = a[np.repeat(kept, found.sizes_a)], b[np.repeat(kept, found.sizes_b)]
+        found = Laid(a, b, found.sizes_a[kept], found.sizes_b[kept])
+        numbers = (np.cumsum(kept) - 1)[numbers]
+    return found, numbers, counts
 
 
 _FIELDS = (
@@ -269,31 +295,56 @@ def _chunked(docs: DataFrame, path_a: str, path_b: str, doc_id: str, text: str)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = encoders(path_a, path_b)
         vocabularies = (both.a, both.b)
-        memo, packer = Memo(vocabularies), zstandard.ZstdCompressor(level=1)
-        number, held, rows = TaskContext.get().partitionId() << 32, 0, 0
-        numbers: dict[Key, int] = {}
-        places: dict[str, tuple[int, ...] | None] = {}
-        found: list[Window] = []
-        shape = np.zeros((0, 3), dtype=np.int64)
-        used: list[np.ndarray] = []
-
-        def close() -> pa.RecordBatch:
-            sizes = np.array([len(one.pairs) // 4 for one in found], dtype="<i4")
-            flat = np.frombuffer(b"".join([one.pairs for one in found]), dtype="<i4")
-            pairs, at = np.unique(flat, return_inverse=True)
-            times = np.bincount(np.concatenate(used), minlength=len(found))
-            uses = np.bincount(at, weights=np.repeat(times.astype(float), sizes), minlength=len(pairs))
-            texts = "\n".join([one.groups for one in found]).encode()
+        aligner, packer = Aligner(vocabularies), zstandard.ZstdCompressor(level=1)
+        number, held = TaskContext.get().partitionId() << 32, 0
+        # What the chunk holds: numbers of units, ids, units of its rows.
+        unit_numbers: dict[str, int] = defaultdict(count().__next__)
+        ids: list[pa.Array] = []
+        sizes: list[int] = []
+        units: list[np.ndarray] = []
+
+        def close() -> Iterator[pa.RecordBatch]:
+            encoded, places = both.encode(list(unit_numbers))
+            found, numbers, counts = windows(encoded, vocabularies)
+            of_rows = places[np.concatenate(units)]
+            row_ends = np.cumsum([0, *sizes])
+            # A text has no windows if one of its units has none.
+            lost = np.append(0, np.cumsum(counts[of_rows] == 0))[row_ends]
+            whole = np.repeat(lost[1:] == lost[:-1], sizes)
+            uses = np.where(whole, counts[of_rows], 0)
+            ends = np.append(0, np.cumsum(uses))
+            starts = (np.cumsum(counts) - counts)[of_rows]
+            flat = numbers[np.repeat(starts - ends[:-1], uses) + np.arange(ends[-1])]
+            ends = ends[row_ends]
+
+            aligned = aligner.align(found)
+            shapes = (found.sizes_a, found.sizes_b, aligned.n_groups)
+            sums = [np.append(0, np.cumsum(shape[flat], dtype=np.int64))[ends] for shape in shapes]
+            rows = len(sizes)
+            columns = [
+                pa.chunked_array(ids, id_of).combine_chunks(),
+                pa.array(np.full(rows, number)),
+                pa.array(np.arange(rows), pa.int32()),
+                *[pa.array(np.diff(x)) for x in sums],
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32())),
+                *[pa.nulls(rows, kind) for kind in (pa.list_(pa.int32()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary())],
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+            pairs, at = np.unique(aligned.pairs, return_inverse=True)
+            times = np.bincount(flat, minlength=len(found.sizes_a))
+            links = np.bincount(at, weights=np.repeat(times.astype(float), aligned.n_links), minlength=len(pairs))
+            packed = (at.astype("<i4").tobytes(), aligned.n_links.astype("<i4").tobytes(), aligned.groups.encode())
             blank = [None]
             columns = [
                 pa.array(blank, id_of),
                 pa.array([number], pa.int64()),
                 *[pa.array(blank, kind) for kind in (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()))],
                 pa.array([pairs], pa.list_(pa.int32())),
-                pa.array([uses.astype(np.int64)], pa.list_(pa.int64())),
-                *[pa.array([packer.compress(x)], pa.binary()) for x in (at.astype("<i4").tobytes(), sizes.tobytes(), texts)],
+                pa.array([links.astype(np.int64)], pa.list_(pa.int64())),
+                *[pa.array([packer.compress(x)], pa.binary()) for x in packed],
             ]
-            return pa.RecordBatch.from_arrays(columns, names=names)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
         for batch in slices(batches, SLICE_ROWS):
             id_of = batch.schema.field(0).type
@@ -306,43 +357,18 @@ def _chunked(docs: DataFrame, path_a: str, path_b: str, doc_id: str, text: str)
                     held += len(texts[stop])
                     stop += 1
                 parted = [cut(text) if text else [] for text in texts[start:stop]]
-                units = [unit for unit in dict.fromkeys(chain.from_iterable(parted)) if unit not in places]
-                keys = both.windows(units)
-                new = [key for key in dict.fromkeys(chain.from_iterable(filter(None, keys))) if key not in numbers]
-                numbers.update(zip(new, range(len(found), len(found) + len(new)), strict=True))
-                places.update((unit, of and tuple([numbers[key] for key in of])) for unit, of in zip(units, keys, strict=True))
-                aligned_new = memo.find(new)
-                found += aligned_new
-                sizes = [(len(a) // 4, len(b) // 4, x.n_groups) for (a, b), x in zip(new, aligned_new, strict=True)]
-                shape = np.concatenate([shape, np.array(sizes, dtype=np.int64).reshape(-1, 3)])
-                lists = []
-                for of in parted:
-                    got = [places[unit] for unit in of]
-                    lists.append([] if None in got else list(chain.from_iterable(got)))
-                n = stop - start
-                ends = np.cumsum([0, *map(len, lists)])
-                flat = np.fromiter(chain.from_iterable(lists), dtype=np.int32, count=ends[-1])
-                sums = np.concatenate([np.zeros((1, 3), dtype=np.int64), np.cumsum(shape[flat], axis=0)])[ends]
-                n_a, n_b, n_groups = (pa.array(x) for x in (sums[1:] - sums[:-1]).T.copy())
-                used.append(flat)
-                columns = [
-                    batch.column(0).slice(start, n),
-                    pa.array(np.full(n, number)),
-                    pa.array(np.arange(rows, rows + n), pa.int32()),
-                    n_a,
-                    n_b,
-                    n_groups,
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
-                    *[pa.nulls(n, kind) for kind in (pa.list_(pa.int32()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary())],
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
-                rows, start = rows + n, stop
+                ids.append(batch.column(0).slice(start, stop - start))
+                new_sizes = list(map(len, parted))
+                sizes += new_sizes
+                of = map(unit_numbers.__getitem__, chain.from_iterable(parted))
+                units.append(np.fromiter(of, dtype=np.int32, count=sum(new_sizes)))
+                start = stop
                 if held >= CHUNK_BYTES:
-                    yield close()
-                    number, held, rows = number + 1, 0, 0
-                    numbers, places, found, used, shape = {}, {}, [], [], shape[:0]
-        if rows:
-            yield close()
+                    yield from close()
+                    number, held = number + 1, 0
+                    unit_numbers, ids, sizes, units = defaultdict(count().__next__), [], [], []
+        if sizes:
+            yield from close()
 
     names = ["doc_id", *[part.split()[0] for part in _FIELDS.split(", ")]]
     return source.mapInArrow(run, f"doc_id {id_type}, {_FIELDS}")

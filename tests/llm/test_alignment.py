@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import sys
 from collections import Counter
 
 import numpy as np
@@ -138,3 +139,31 @@ def test_odd_rows(spark, edge_docs, empty_docs, libraries):
     rows = sorted(rows, key=order)
     check(rows, [known[row["doc_id"]].pop(0) for row in rows], libraries)
     assert alignment.aligned(empty_docs, ENGLISH_BPE, PIECES).count() == 0
+
+
+def test_units_are_encoded_and_aligned_as_arrays(libraries):
+    both = alignment.encoders(ENGLISH_BPE, PIECES)
+    units = ["same", "  same", "x\n same", "", "\t", "a▁b", "über", "x\n same more", *[f"word{i}" for i in range(3000)]]
+    laid, places = both.encode(units)
+    found, numbers, counts = alignment.windows(laid, (both.a, both.b))
+    keys = [(a, b) for a, b in zip(alignment._split(found.a, found.sizes_a), alignment._split(found.b, found.sizes_b), strict=True)]
+    several = [keys[i] for i in numbers[np.repeat(counts > 1, counts)]]
+    assert several and len(keys) == len(counts[counts == 1]) + len(set(several))
+    aligned = alignment.Aligner((both.a, both.b)).align(found)
+    texts = aligned.groups.split("\n")
+    first = np.cumsum(counts) - counts
+    for unit, place in zip(units, places, strict=True):
+        one = brute(unit, libraries) if unit else {"groups": [], "links": []}
+        mine = numbers[first[place] : first[place] + counts[place]]
+        assert ";".join(texts[i] for i in mine) == ";".join(one["groups"]), unit
+        assert aligned.n_groups[mine].sum() == len(one["groups"])
+        last = np.cumsum(aligned.n_links)
+        links = [pair for i in mine for pair in aligned.pairs[last[i] - aligned.n_links[i] : last[i]].tolist()]
+        assert links == [a * alignment.PAIR + b for a, b in one["links"]]
+    calls = Counter()
+    sys.setprofile(lambda frame, event, what: calls.update([event]))
+    try:
+        alignment.Aligner.align(alignment.Aligner((both.a, both.b)), alignment.windows(laid, (both.a, both.b))[0])
+    finally:
+        sys.setprofile(None)
+    assert calls.total() < len(units)
