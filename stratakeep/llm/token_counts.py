@@ -14,8 +14,9 @@ import json
 import os
 import re
 import struct
+from collections.abc import Iterator
 from functools import cache
-from itertools import accumulate
+from itertools import accumulate, chain
 from operator import sub
 
 import numpy as np
@@ -39,6 +40,13 @@ _LETTERS, _SIGNS = "A-Za-zÀ-ÖØ-öø-ÿ", r".,;:!?|#*$%&<>()_+@/-"
 _PLAIN = re.compile(f" ?[{_LETTERS}0-9{_SIGNS}]+(?:\n[{_LETTERS}0-9{_SIGNS}]+)*")
 _PLAIN_PIECES = re.compile(f" ?[{_LETTERS}]+| ?[0-9]+| ?[{_SIGNS}]+|\n")
 _BYTES = dict(enumerate(byte_characters()))
+_BYTE_OF = {character: byte for byte, character in _BYTES.items()}
+
+# Longest piece, in bytes, that is counted together with others, and how many at once.
+BULK_BYTES = 64
+BULK_PIECES = 1 << 15
+# Units kept per task: most of what a task of some 30 MB of text holds.
+KEPT_UNITS = 2 * CACHE_UNITS
 
 
 def _as_bytes(text: str) -> str:
@@ -50,6 +58,46 @@ def _steps(counts: list[int]) -> bytes:
     return struct.pack(f"<{len(counts)}i", *map(sub, counts, [0, *counts]))
 
 
+class Endings:
+    """Finds the tokens that end at a byte, by a tree of tokens read backwards.
+
+    A branch is a node times 256 plus a byte; ``_keys`` holds all, in order.
+    """
+
+    def __init__(self, tokens: dict[bytes, int]) -> None:
+        nodes = {b"": 0}
+        branches: dict[int, int] = {}
+        for token in tokens:
+            at = 0
+            for start in range(len(token) - 1, -1, -1):
+                node = nodes.setdefault(token[start:], len(nodes))
+                branches[at << 8 | token[start]] = node
+                at = node
+        self._token = np.full(len(nodes), -1, dtype=np.int64)
+        for token, number in tokens.items():
+            self._token[nodes[token]] = number
+        self._keys = np.array(sorted(branches), dtype=np.int64)
+        self._nodes = np.array([branches[key] for key in self._keys.tolist()], dtype=np.int64)
+
+    def find(self, rows: np.ndarray, rights: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        """Of the places at byte ``ends`` of a row of ``rows``: those where a
+        token ends, that token, and its length, by growing length."""
+        at, node = np.arange(len(ends)), np.zeros(len(ends), dtype=np.int64)
+        length = 0
+        while len(at):
+            length += 1
+            inside = ends[at] >= length
+            at, node = at[inside], node[inside]
+            branch = node << 8 | rows[rights[at], ends[at] - length]
+            place = np.minimum(np.searchsorted(self._keys, branch), len(self._keys) - 1)
+            there = self._keys[place] == branch
+            at, node = at[there], self._nodes[place[there]]
+            token = self._token[node]
+            whole = token >= 0
+            if whole.any():
+                yield at[whole], token[whole], length
+
+
 class PrefixCounter:
     """Counts tokens at every prefix as the library's ``encode`` would."""
 
@@ -73,52 +121,126 @@ class PrefixCounter:
         # Lengths of the tokens that end alike, the longest first.
         self._lengths = {tail: (*sorted(found, reverse=True), 2, 1) for tail, found in lengths.items()}
         self._known: dict[str, bytes] = {}
-        self._states: dict[str, tuple[int, int]] = {}
         self._follows: dict[int, bool] = {}
+        self._endings = Endings({bytes(map(_BYTE_OF.__getitem__, token)): i for token, i in self._ids.items()})
+        # Pairs of tokens in order, the first shifted, and whether the second may follow.
+        self._pairs, self._fit = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=bool)
 
     def _may_follow(self, first: int, second: int) -> bool:
         found = self._model.tokenize(self._text[first] + self._text[second])
-        if len(self._follows) > 1_000_000:
-            self._follows.clear()
-        known = len(found) == 2 and found[0].id == first and found[1].id == second
-        self._follows[first << 20 | second] = known
-        return known
+        return len(found) == 2 and found[0].id == first and found[1].id == second
+
+    def _fits(self, pairs: np.ndarray) -> np.ndarray:
+        """``_may_follow`` of many pairs."""
+        if len(self._pairs):
+            place = np.minimum(np.searchsorted(self._pairs, pairs), len(self._pairs) - 1)
+            known = self._pairs[place] == pairs
+            if known.all():
+                return self._fit[place]
+            new = np.unique(pairs[~known])
+        else:
+            new = np.unique(pairs)
+        if len(self._pairs) > 1_000_000:
+            self._pairs, self._fit, new = self._pairs[:0], self._fit[:0], np.unique(pairs)
+        fit = np.array([self._may_follow(pair >> 20, pair & (1 << 20) - 1) for pair in new.tolist()], dtype=bool)
+        at = np.searchsorted(self._pairs, new)
+        self._pairs, self._fit = np.insert(self._pairs, at, new), np.insert(self._fit, at, fit)
+        return self._fit[np.searchsorted(self._pairs, pairs)]
+
+    def pieces(self, pieces: list[bytes]) -> list[bytes]:
+        """Differences of the counts at each character of each piece, as
+        ``_steps`` gives them for one.
+
+        The pieces are in order, so those that begin alike are neighbours and a
+        beginning is counted once, in the first row that has it. All rows go
+        on by one byte at a time.
+        """
+        sizes = np.array(list(map(len, pieces)))
+        width = int(sizes.max())
+        rows = np.frombuffer(b"".join([x.ljust(width, b"\0") for x in pieces]), dtype=np.uint8).reshape(-1, width)
+        # Bytes at the beginning that are those of the row before.
+        same = np.append(0, np.argmin(np.pad(rows[1:] == rows[:-1], ((0, 0), (0, 1))), axis=1))
+        by_end = np.arange(1, width + 1)
+        # The places that are counted, one byte's after the other's.
+        ends, rights = np.nonzero((by_end[:, None] > same) & (by_end[:, None] <= sizes))
+        ends += 1
+        found = list(self._endings.find(rows, rights, ends))
+        at, tokens = (np.concatenate([x[i] for x in found]) for i in (0, 1))
+        lengths = np.repeat([x[2] for x in found], [len(x[0]) for x in found])
+        order = np.argsort(ends[at], kind="stable")
+        at, tokens, starts, of = at[order], tokens[order], (ends[at] - lengths)[order], rights[at[order]]
+        last_at = np.searchsorted(ends[at], np.arange(width + 1), side="right").tolist()
+        counts, last = (np.full((width + 1, len(pieces)), fill, dtype=np.int32) for fill in (0, -1))
+        first = np.arange(len(pieces))
+        for end in range(1, width + 1):
+            here = slice(last_at[end - 1], last_at[end])
+            row, start, token = of[here], starts[here], tokens[here]
+            fits = start == 0
+            later = np.nonzero(~fits)[0]
+            before = last[start[later], row[later]].astype(np.int64)
+            later, before = later[before >= 0], before[before >= 0]
+            if len(later):
+                fits[later] = self._fits(before << 20 | token[later])
+            row, start, token = row[fits], start[fits], token[fits]
+            counts[end, row], last[end, row] = counts[start, row] + 1, token
+            # Rows that begin like one before take its state.
+            owner = np.maximum.accumulate(np.where(same < end, first, 0))
+            counts[end], last[end] = counts[end, owner], last[end, owner]
+        missing = (last[1:] < 0) & (by_end[:, None] <= sizes)
+        if missing.any():
+            end, row = (int(x[0]) for x in np.nonzero(missing))
+            raise ValueError(f"no token of the vocabulary ends at byte {end + 1} of {pieces[row]!r}")
+        # A character ends before a byte that does not go on with it.
+        after = np.pad(rows[:, 1:], ((0, 0), (0, 1)))
+        complete = (after & 0xC0 != 0x80) & (by_end <= sizes[:, None])
+        at_ends = counts[1:].T[complete]
+        stops = np.cumsum(complete.sum(axis=1))
+        steps = np.diff(at_ends, prepend=np.int32(0))
+        steps[stops[:-1]] = at_ends[stops[:-1]]
+        raw, stops = steps.astype("<i4").tobytes(), (stops * 4).tolist()
+        return [raw[i:j] for i, j in zip([0, *stops], stops, strict=False)]
 
     def piece(self, piece: str) -> list[int]:
-        """Counts at every byte of one piece, given as byte characters.
-
-        Pieces share beginnings, so the states of short prefixes are kept.
-        """
-        states, ids, lengths, follows = self._states, self._ids, self._lengths, self._follows
-        kept = len(piece) <= CACHE_CHARS
-        if len(states) > CACHE_UNITS:
-            states.clear()
+        """Counts at every byte of one piece, given as byte characters."""
+        ids, lengths, follows = self._ids, self._lengths, self._follows
+        if len(follows) > 1_000_000:
+            follows.clear()
         counts, last = [0], [-1]
         for end in range(1, len(piece) + 1):
-            prefix = piece[:end] if kept else ""
-            state = states.get(prefix)
-            if state is None:
-                for length in lengths.get(piece[max(0, end - 3) : end], (2, 1)):
-                    start = end - length
-                    if start < 0:
+            for length in lengths.get(piece[max(0, end - 3) : end], (2, 1)):
+                start = end - length
+                if start < 0:
+                    continue
+                token = ids.get(piece[start:end])
+                if token is None:
+                    continue
+                if start:
+                    pair = last[start] << 20 | token
+                    fits = follows.get(pair)
+                    if fits is None:
+                        fits = follows[pair] = self._may_follow(last[start], token)
+                    if not fits:
                         continue
-                    token = ids.get(piece[start:end])
-                    if token is None:
-                        continue
-                    if start:
-                        fits = follows.get(last[start] << 20 | token)
-                        if not (self._may_follow(last[start], token) if fits is None else fits):
-                            continue
-                    state = (counts[start] + 1, token)
-                    break
-                else:
-                    raise ValueError(f"no token of the vocabulary ends at byte {end} of {piece!r}")
-                if kept:
-                    states[prefix] = state
-            counts.append(state[0])
-            last.append(state[1])
+                counts.append(counts[start] + 1)
+                last.append(token)
+                break
+            else:
+                raise ValueError(f"no token of the vocabulary ends at byte {end} of {piece!r}")
         return counts[1:]
 
+    def units(self, units: list[str]) -> list[bytes]:
+        """``unit`` of many units, whose new plain pieces are counted together."""
+        plain = [_PLAIN_PIECES.findall(unit) if _PLAIN.fullmatch(unit) else None for unit in units]
+        known = self._known
+        if len(known) > CACHE_UNITS:
+            known.clear()
+        new = {piece.encode(): piece for piece in set(chain.from_iterable(filter(None, plain))) - known.keys()}
+        short = sorted(piece for piece in new if len(piece) <= BULK_BYTES)
+        for start in range(0, len(short), BULK_PIECES):
+            part = short[start : start + BULK_PIECES]
+            known.update(zip([new[piece] for piece in part], self.pieces(part), strict=True))
+        return [self.unit(unit) if of is None else b"".join(map(self._plain, of)) for unit, of in zip(units, plain, strict=True)]
+
     def unit(self, unit: str) -> bytes:
         """Differences of the counts at each character of a unit to the
         character before, as 32-bit integers; see ``units.cut``."""
@@ -147,8 +269,6 @@ class PrefixCounter:
         found = self._known.get(text)
         if found is None:
             found = _steps(self._characters(text, _as_bytes(text), 0))
-            if len(self._known) > CACHE_UNITS:
-                self._known.clear()
             if len(text) <= CACHE_CHARS:
                 self._known[text] = found
         return found
@@ -182,7 +302,7 @@ def prefix_counts(docs: DataFrame, path: str, carried: list[str], text: str = "t
 
     def start():
         counting = counter(path)
-        kept = UnitCache(lambda units: list(map(counting.unit, units)))
+        kept = UnitCache(counting.units, KEPT_UNITS)
         special = re.compile("|".join(map(re.escape, counting.special))) if counting.special else None
 
         def plain(texts: list[str]) -> list[np.ndarray]:

@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import hashlib
 import random
+import sys
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -95,3 +97,38 @@ def test_null_ids_decode_to_nothing(spark):
     table = spark.createDataFrame([(None,), ([],)], "ids array<int>")
     assert [bytes(r["decoded"]) for r in byte_bpe.decode(table, MULTI_RANKS).collect()] == [b"", b""]
     assert table.select(token_counts.total_tokens("ids").alias("n")).agg(F.sum("n")).first()[0] == 0
+
+
+def test_new_pieces_are_counted_together(monkeypatch):
+    library = Tokenizer.from_file(ENGLISH_BPE)
+    rng = random.Random(11)
+    syllables = ["th", "er", "ent", "ion", "é", "ü", "ing", "ß", "a", "the", "STR", "12", "!!", "##", "\n"]
+    units = ["".join(rng.choices(syllables, k=rng.randint(1, 14))).strip("\n") for _ in range(400)]
+    units = list(dict.fromkeys([unit for text in units if text for unit in (text, " " + text)]))
+    units += ["x", "é" * 40, "ab" * 60, "  odd", "中", "", "a\n\nb"]
+    monkeypatch.setattr(token_counts, "BULK_PIECES", 100)
+    counting = token_counts.PrefixCounter(ENGLISH_BPE)
+    # Neither pieces seen before nor a cache that starts anew change a count.
+    found = counting.units(units[:300]) + counting.units(units[300:])
+    monkeypatch.setattr(token_counts, "CACHE_UNITS", 10)
+    assert counting.units(units) == found
+    for unit, steps in zip(units, found, strict=True):
+        want = [len(library.encode(unit[:i], add_special_tokens=False).ids) for i in range(1, len(unit) + 1)]
+        assert np.cumsum(np.frombuffer(steps, dtype="<i4")).tolist() == want
+    # Once their pairs of tokens are known, pieces take no call per byte.
+    pieces = sorted({"".join(rng.choices("abcdeirnst", k=9)).encode() for _ in range(2000)})
+    once = counting.pieces(pieces)
+    calls = []
+    sys.setprofile(lambda frame, event, what: calls.append(event))
+    try:
+        assert counting.pieces(pieces) == once
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < sum(map(len, pieces)) / 2
+
+
+def test_a_byte_without_a_token_is_an_error():
+    counting = token_counts.PrefixCounter(ENGLISH_BPE)
+    counting._endings = token_counts.Endings({b"a": 64, b"b": 65})
+    with pytest.raises(ValueError, match="ends at byte 2"):
+        counting.pieces([b"acb"])
