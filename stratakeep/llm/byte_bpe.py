@@ -2,17 +2,20 @@
 
 A ranks file lists byte strings in merge order. Each byte becomes one printable
 character, so the library can hold the vocabulary; every way to put a token
-together from two others becomes a merge of that token's rank. Decoding looks
-each id's bytes up and joins them, so a character that was split over several
-tokens comes back whole.
+together from two others becomes a merge of that token's rank. New units of text
+are encoded many to a line. Decoding looks each id's bytes up and joins them, so a
+character that was split over several tokens comes back whole.
 """
 
 from __future__ import annotations
 
 import base64
 import os
+import re
 import struct
 from functools import cache
+from itertools import chain, compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +24,11 @@ from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
 from stratakeep.llm.batches import SLICE_ROWS, map_texts
-from stratakeep.llm.units import CACHE_UNITS, UnitCache, cut
+from stratakeep.llm.units import CACHE_CHARS, CACHE_UNITS, UnitCache, cut
+
+# Units that one line holds at most, and what they look like.
+LINE_UNITS = 1024
+_IN_LINE = re.compile(r" \S(?:.*\S)?", re.DOTALL)
 
 FIELDS = "ids array<int>, starts array<int>, ends array<int>, round_trip boolean"
 DECODED = "decoded binary"
@@ -75,6 +82,45 @@ def tokenizer(path: str, pattern: str) -> Tokenizer:
     return made
 
 
+class UnitEncoder:
+    """Ids of units, 32 bits each, as the library gives them for each alone."""
+
+    def __init__(self, path: str, pattern: str) -> None:
+        self._library = tokenizer(path, pattern)
+        ranks = read_ranks(path)
+        self.widths = np.zeros(max(ranks.values()) + 1, dtype=np.int32)
+        for token, rank in ranks.items():
+            self.widths[rank] = len(token)
+
+    def _each(self, units: list[str]) -> list[bytes]:
+        found = self._library.encode_batch_fast(units, add_special_tokens=False)
+        return [struct.pack(f"<{len(ids)}i", *ids) for ids in (one.ids for one in found)]
+
+    def _line(self, units: list[str]) -> list[bytes]:
+        """As ``_each`` for units that begin with a single space and do not end
+        with white space: one line holds them all, and its ids are dealt out
+        again by the bytes they stand for. If these are not the line's, or a unit
+        does not end where a token does, each goes alone."""
+        ids = np.array(self._library.encode_batch_fast(["".join(units)], add_special_tokens=False)[0].ids, dtype="<i4")
+        ends = np.cumsum([len(unit.encode()) for unit in units])
+        at = np.cumsum(self.widths[ids])
+        if not len(at) or at[-1] != ends[-1]:
+            return self._each(units)
+        place = np.searchsorted(at, ends)
+        if (at[place] != ends).any():
+            return self._each(units)
+        raw, stops = ids.tobytes(), ((place + 1) * ids.itemsize).tolist()
+        return [raw[i:j] for i, j in zip([0, *stops], stops, strict=False)]
+
+    def units(self, units: list[str]) -> list[bytes]:
+        lined = [len(unit) <= CACHE_CHARS and _IN_LINE.fullmatch(unit) is not None for unit in units]
+        others = iter(self._each([*compress(units, map(not_, lined))]))
+        plain = [*compress(units, lined)]
+        lines = (self._line(plain[start : start + LINE_UNITS]) for start in range(0, len(plain), LINE_UNITS))
+        in_lines = chain.from_iterable(lines)
+        return [next(in_lines if inside else others) for inside in lined]
+
+
 def _lists(parts: list[bytes]) -> pa.Array:
     """One list of 32-bit integers per part."""
     ends = np.cumsum([0, *map(len, parts)]) // 4
@@ -104,15 +150,8 @@ def encode(
     """
 
     def start():
-        library = tokenizer(path, pattern)
-        ranks = read_ranks(path)
-        widths = np.zeros(max(ranks.values()) + 1, dtype=np.int32)
-        for token, rank in ranks.items():
-            widths[rank] = len(token)
-
-        def missing(units: list[str]) -> list[bytes]:
-            found = library.encode_batch_fast(units, add_special_tokens=False)
-            return [struct.pack(f"<{len(ids)}i", *ids) for ids in (one.ids for one in found)]
+        encoder = UnitEncoder(path, pattern)
+        widths = encoder.widths
 
         def offsets(text: str, ids: bytes) -> tuple[bytes, bytes]:
             """Byte places of the tokens, as places of the characters they are in."""
@@ -124,9 +163,9 @@ def encode(
             firsts = np.concatenate([[0], byte_ends[:-1]])
             return place[firsts].astype("<i4").tobytes(), (place[byte_ends - 1] + 1).astype("<i4").tobytes()
 
-        kept = UnitCache(missing, CACHE_UNITS // 2)
+        kept = UnitCache(encoder.units)
 
-        table = _table(ranks)
+        table = _table(read_ranks(path))
 
         def make(texts: list[str]) -> list[pa.Array]:
             ids = [b"".join(found) for found in kept.values([cut(x) for x in texts])]

@@ -15,7 +15,8 @@ CACHE_UNITS = 300_000
 # Longer units are not worth keeping.
 CACHE_CHARS = 200
 
-_IRREGULAR = re.compile(r"\s | \s|^ | $")
+# A space without characters that are not white space on both sides.
+_IRREGULAR = re.compile(r" (?:(?!\S)|(?<!\S ))")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -38,8 +39,12 @@ class UnitCache[V]:
             self._firsts.clear()
             self._others.clear()
         firsts, others = self._firsts, self._others
-        new_firsts = list({units[0] for units in texts} - firsts.keys())
-        new_others = list({unit for units in texts for unit in units[1:]} - others.keys())
+        seen: set[str] = set()
+        for units in texts:
+            seen.update(units[1:])
+        # Unlike ``-``, this looks the units up instead of going through the cache.
+        new_firsts = list({units[0] for units in texts}.difference(firsts))
+        new_others = list(seen.difference(others))
         made = self._missing([*new_firsts, *[" " + unit for unit in new_others]])
         firsts.update(zip(new_firsts, made, strict=False))
         others.update(zip(new_others, made[len(new_firsts) :], strict=True))

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import base64
 import hashlib
 import random
+import re
 import sys
 
 import numpy as np
@@ -13,6 +15,7 @@ from tokenizers import Tokenizer
 
 from stratakeep.llm import byte_bpe, token_counts
 from stratakeep.llm.queries import ENGLISH_BPE, MULTI_RANKS, QUERIES
+from stratakeep.llm.units import cut
 from tests.llm.conftest import SF_DIR
 
 PARTS = ["a", "aa", " ", "  ", "\n", " \n", "\t", "-", "--", "'", "'s", "'re", "'ll", "1", "22", "é", "ê", "中", "文",
@@ -48,6 +51,54 @@ def test_ids_offsets_and_round_trip(spark, odd_texts, library):
         assert row["ends"] == [at[p - 1] + 1 for p in places[1:]]
 
 
+def test_texts_are_cut_at_single_spaces(odd_texts):
+    for text in [*odd_texts, "", " ", "a b", " a b", "a b ", "a  b c", "a b\n", "a \n", "a\u3000 b"]:
+        assert cut(text) == re.split(r"(?<=\S) (?=\S)", text)
+
+
+def _made(monkeypatch, path: str, texts: list[str]) -> tuple[list[list], list[str]]:
+    """The new columns of texts, and what was given to the library."""
+    given = []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **how):
+            given.extend(texts)
+            return library.encode_batch_fast(texts, **how)
+
+    library = byte_bpe.tokenizer(path, public_tokenizers.PATTERN)
+    with monkeypatch.context() as patch:
+        patch.setattr(byte_bpe, "tokenizer", lambda *_: Counted())
+        patch.setattr(byte_bpe, "map_texts", lambda docs, carried, text, fields, start: start())
+        make = byte_bpe.encode(None, path, public_tokenizers.PATTERN, [], decoded=True)
+        return [column.to_pylist() for column in make(texts)], given
+
+
+def test_new_units_are_encoded_together(monkeypatch, odd_texts, library):
+    rng = random.Random(7)
+    words = ["".join(rng.choices("abcdeé中.,#'\n", k=9)).strip() for _ in range(6000)]
+    texts = [" ".join(words[i : i + 60]) for i in range(0, 6000, 60)]
+    long = " ".join(["x" * 500, "é" * 201, "中" * 200, "x" * 500])
+    (ids, *_, back), given = _made(monkeypatch, MULTI_RANKS, texts)
+    assert ids == [library.encode_ordinary(text) for text in texts]
+    assert back == [text.encode() for text in texts]
+    # A first word of a text goes alone, the others many to a line.
+    assert len(given) < 200
+    # Units that are long or have white space at an end do not share a line.
+    (ids, *_), _ = _made(monkeypatch, MULTI_RANKS, [*odd_texts, *texts, long, "a b\n", " a b", "a b ", "c\n\n d"])
+    for text, found in zip([*odd_texts, *texts, long, "a b\n", " a b", "a b ", "c\n\n d"], ids, strict=True):
+        assert found == library.encode_ordinary(text)
+
+
+def test_bytes_without_a_token_are_left_out(monkeypatch, tmp_path):
+    ranks = [b"a", b"b", b" ", b"ab", b" a"]
+    path = tmp_path / "few.tiktoken"
+    path.write_bytes(b"".join(base64.b64encode(x) + b" %d\n" % i for i, x in enumerate(ranks)))
+    (ids, _, _, same, back), _ = _made(monkeypatch, str(path), ["a ab cab c b", "a b ab", "c c", ""])
+    one = byte_bpe.tokenizer(str(path), public_tokenizers.PATTERN)
+    assert ids == [one.encode(text).ids for text in ["a ab cab c b", "a b ab", "c c", ""]]
+    assert back == [b"a ab ab  b", b"a b ab", b" ", b""] and same == [False, True, False, True]
+
+
 def test_prefix_counts_against_encoding_every_prefix(spark, odd_texts):
     library = Tokenizer.from_file(ENGLISH_BPE)
     table = spark.createDataFrame(list(enumerate(odd_texts[:300])), "doc_id long, text string")
